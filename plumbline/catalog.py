@@ -13,7 +13,7 @@ from plumbline.functions.address import extract_address, redact_address
 from plumbline.operators import cooldown, references, updates
 from plumbline.plans import alerts, enrich, root_cause, semantic, validate
 from plumbline.plans import shop_monitors as monitors
-from plumbline.session import shared_folder
+from plumbline.session import shared_folder, written
 from plumbline.sources import shop
 from plumbline.sources.generator import generate_orders
 from plumbline.sources.shop import AS_OF, given, raw
@@ -222,8 +222,9 @@ def metric_references(spark, d):
 
 @query
 def alert_payload(spark, d):
-    monitor = monitors.orders_monitor()
-    return alerts.alerts(monitor.statuses(orders_history(spark, d)))
+    """Alerts are raised from the status log, so the log is written first."""
+    log = written(monitors.orders_monitor().statuses(orders_history(spark, d)), "statuses")
+    return alerts.alerts(log)
 
 
 @query

@@ -12,31 +12,31 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # A Mersenne prime, a multiplicative constant, a second prime and
-# the stride between salts.  ``draw_sql`` states the same formula as text.
+# the stride between salts.
 MERSENNE = 2147483647
 MULTIPLIER = 2654435761
 PRIME = 4294967291
 STRIDE = 1000003
 
 
-def draw(key: Column, salt: int, n: int) -> Column:
-    """An integer in ``[0, n)``.  Reducing the key first keeps every step inside
-    a bigint for any bigint key."""
-    start = (key.cast("bigint") + F.lit(salt * STRIDE)) % F.lit(MERSENNE)
-    return (start * start) % F.lit(MERSENNE) * F.lit(MULTIPLIER) % F.lit(PRIME) % F.lit(n)
-
-
-def draw_sql(key: str, salt: int, n: int) -> str:
+def draw_sql(key: str, salt: int, n: int | str) -> str:
+    """An integer in ``[0, n)`` as SQL text.  Reducing the key first keeps every
+    step inside a bigint for any bigint key."""
     start = f"(({key} + {salt * STRIDE}) % {MERSENNE})"
     return f"(({start} * {start}) % {MERSENNE} * {MULTIPLIER} % {PRIME} % {n})"
 
 
-def uniform(key: Column, salt: int, low: int, high: int) -> Column:
+def draw(key: str, salt: int, n: int) -> Column:
+    """An integer in ``[0, n)`` from a bigint column."""
+    return F.expr(draw_sql(key, salt, n))
+
+
+def uniform(key: str, salt: int, low: int, high: int) -> Column:
     """An integer in ``[low, high]``."""
     return F.lit(low) + draw(key, salt, high - low + 1)
 
 
-def pick(key: Column, salt: int, values: Sequence[str]) -> Column:
+def pick(key: str, salt: int, values: Sequence[str]) -> Column:
     """One of ``values``, all equally likely."""
     choice = F.array(*[F.lit(v) for v in values])
     return F.element_at(choice, (draw(key, salt, len(values)) + 1).cast("int"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -64,8 +65,6 @@ def batch_model(predict: Callable, returns: str) -> Callable[..., Column]:
     """A model as a column function.  ``predict`` takes and returns pandas
     series; Spark hands it Arrow batches in every task, so it scales with the
     partitions.  It can stand in wherever a rule is used."""
-    import pandas as pd
-
     def evaluate(values: pd.Series) -> pd.Series:
         return predict(values)
 

@@ -16,16 +16,18 @@ rounds downwards find the alerts inside the segments.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from datetime import timedelta
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+EVER = -(2**60)         # alerts are allowed from the start
 EPOCH = "1970-01-01 00:00:00"
-EVER = np.iinfo(np.int64).min // 2      # "alerts are allowed from the start"
+EXACT = {"timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}
 
 
 def _micros(ts: Column) -> Column:
@@ -36,33 +38,91 @@ def _moment(micros: Column) -> Column:
     return F.timestamp_add("MICROSECOND", micros, F.lit(EPOCH).cast("timestamp_ntz"))
 
 
-def summarise(upto: np.ndarray, sent: np.ndarray, cooldown: int, latest_entry: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of a segment (ordered by ``upto``) to the rows of its summary."""
-    follower = np.searchsorted(upto, sent + cooldown)
-    last = np.where(follower < len(upto), follower, np.arange(len(upto)))
-    while True:                         # jump to the last alert of each chain
-        further = last[last]
-        if np.array_equal(further, last):
-            break
-        last = further
-    # No alert before the segment can forbid more than its first cooldown.
-    reachable = min(np.searchsorted(upto, latest_entry), len(upto) - 1) + 1
-    final = sent[last][:reachable]
-    keep = np.append(final[1:] != final[:-1], True)
-    return upto[:reachable][keep], final[keep]
-
-
-def walk(upto: np.ndarray, sent: np.ndarray, cooldown: int, allowed: int) -> tuple[list[int], list[int]]:
-    """The rows passed when alerts are allowed from ``allowed`` on, each with the
-    moment from which they were allowed on arrival."""
-    passed, arrivals = [], []
-    i = np.searchsorted(upto, allowed)
-    while i < len(upto):
-        passed.append(int(i))
-        arrivals.append(int(allowed))
-        allowed = int(sent[i]) + cooldown
-        i = np.searchsorted(upto, allowed)
-    return passed, arrivals
+def whole_groups(batches: Iterator[pd.DataFrame], labels: Sequence[str]) -> Iterator[pd.DataFrame]:
+    """Batches of a sorted partition, cut so that no group is divided, with the
+    running number of the group in ``g``."""
+    waiting: list[pd.DataFrame] = []
+    for batch in batches:
+        if batch.empty:
+            continue
+        last = np.ones(len(batch), dtype=bool)
+        for c in labels:
+            last &= (batch[c] == batch[c].iloc[-1]).to_numpy()
+        begin = len(batch) - int(last.sum())
+        if begin or (waiting and any(waiting[-1][c].iloc[-1] != batch[c].iloc[0] for c in labels)):
+            yield _numbered(pd.concat([*waiting, batch.iloc[:begin]], ignore_index=True), labels)
+            waiting = []
+        waiting.append(batch.iloc[begin:])
+    if waiting:
+        yield _numbered(pd.concat(waiting, ignore_index=True), labels)
+
+
+def _numbered(rows: pd.DataFrame, labels: Sequence[str]) -> pd.DataFrame:
+    starts = np.zeros(len(rows), dtype=bool)
+    for c in labels:
+        values = rows[c].to_numpy()
+        starts[1:] |= values[1:] != values[:-1]
+    return rows.assign(g=np.cumsum(starts))
+
+
+def _lanes(rows: pd.DataFrame, pause: int) -> Iterator[tuple[pd.DataFrame, np.ndarray, int, int]]:
+    """Rows with one position each, so that a single sorted search serves many
+    groups: every group gets a lane that no moment of interest leaves.  Yields
+    as many groups at a time as 64 bits can hold."""
+    origin = int(rows["upto"].min())
+    lane = int(rows["upto"].max()) - origin + pause + 1
+    at_once = max(1, 2**62 // lane)
+    for first in range(0, int(rows["g"].iloc[-1]) + 1, at_once):
+        some = rows[(rows["g"] >= first) & (rows["g"] < first + at_once)].reset_index(drop=True)
+        some = some.assign(g=some["g"] - first)
+        yield some, some["g"].to_numpy() * lane + (some["upto"].to_numpy() - origin), lane, origin
+
+
+def summarise(rows: pd.DataFrame, pause: int, width: int) -> pd.DataFrame:
+    """Rows of whole segments to the rows of their summaries."""
+    done = []
+    for some, position, lane, origin in _lanes(rows, pause):
+        g, sent = some["g"].to_numpy(), some["sent"].to_numpy()
+        upto = some["upto"].to_numpy()
+        n = len(some)
+        follower = np.searchsorted(position, g * lane + (sent - origin) + pause)
+        follows = np.append(g, -1)[follower] == g
+        last = np.where(follows, follower, np.arange(n))
+        while True:                     # jump to the last alert of each chain
+            further = last[last]
+            if np.array_equal(further, last):
+                break
+            last = further
+        final = sent[last]
+        same_group = np.append(g[1:] == g[:-1], False)
+        # An alert before the segment forbids less than its first ``pause``, so
+        # only rows up to the first one beyond that can be where alerts resume.
+        beyond = upto - some["segment"].to_numpy() * width >= pause - 1
+        reachable = np.append(True, ~(same_group & beyond)[:-1])
+        merged = same_group & np.append(reachable[1:], False) & np.append(final[1:] == final[:-1], False)
+        keep = reachable & ~merged
+        done.append(pd.DataFrame({"label": some["label"][keep], "upto": upto[keep], "sent": final[keep]}))
+    return pd.concat(done)
+
+
+def walk(rows: pd.DataFrame, pause: int) -> pd.DataFrame:
+    """The rows passed on the way through each group, starting from its
+    ``allowed``, each with the moment from which alerts were allowed there."""
+    done = []
+    for some, position, lane, origin in _lanes(rows, pause):
+        g = np.append(some["g"].to_numpy(), -1)
+        sent = some["sent"].to_numpy()
+        group = np.unique(some["g"].to_numpy())
+        allowed = some.groupby("g")["allowed"].max().to_numpy()
+        while len(group):
+            offset = np.clip(allowed - origin, 0, lane - 1)
+            row = np.searchsorted(position, group * lane + offset)
+            here = g[row] == group
+            row, group = row[here], group[here]
+            done.append(pd.DataFrame({"label": some["label"].to_numpy()[row], "upto": some["upto"].to_numpy()[row],
+                                      "allowed": allowed[here]}))
+            allowed = sent[row] + pause
+    return pd.concat(done)
 
 
 def alerts_with_cooldown(violations: DataFrame, keys: Sequence[str], ts: str, cooldown: timedelta,
@@ -72,65 +132,51 @@ def alerts_with_cooldown(violations: DataFrame, keys: Sequence[str], ts: str, co
     keys = list(keys)
     pause = int(cooldown / timedelta(microseconds=1))
     short, long = pause * fan_in, pause * fan_in * fan_in
+    # One text per key; unlike the key columns it is never NULL.
+    label = F.to_json(F.struct(*keys), EXACT).alias("label")
+    row_schema, entry_schema = "label string, upto long, sent long", "label string, upto long, allowed long"
 
-    def segment(width: int) -> Column:
+    def by_segment(df: DataFrame, width: int) -> DataFrame:
         # Whole numbers throughout: a rounded quotient could miss the boundary.
-        return F.expr(f"(upto - pmod(upto, {width}L)) div {width}L").alias("segment")
-
-    # Equal moments of a key are one violation; tasks drop them before the
-    # shuffle, so a segment holds at most its number of distinct moments.
-    events = (violations.select(*keys, _micros(F.col(ts)).alias("upto")).dropna(subset=["upto"]).distinct()
-              .select(*keys, "upto", F.col("upto").alias("sent")))
-    of_keys = [violations.schema[k] for k in keys]
-    row_schema = _with(of_keys, upto="long", sent="long")
-    entry_schema = _with(of_keys, segment="long", allowed="long")
+        number = F.expr(f"(upto - pmod(upto, {width}L)) div {width}L").alias("segment")
+        return df.select("*", number).repartition("label", "segment")
 
     def upwards(width: int):
-        def run(pdf: pd.DataFrame) -> pd.DataFrame:
-            pdf = pdf.sort_values("upto")
-            start = int(pdf["upto"].iloc[0]) // width * width
-            upto, sent = summarise(pdf["upto"].to_numpy(), pdf["sent"].to_numpy(), pause, start + pause - 1)
-            return _labelled(pdf, keys, upto=upto, sent=sent)
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for rows in whole_groups(batches, ["label", "segment"]):
+                yield summarise(rows, pause, width)
         return run
 
-    def downwards(width: int | None):
-        def run(rows: pd.DataFrame, entries: pd.DataFrame) -> pd.DataFrame:
-            if rows.empty or (entries.empty and width != long):
-                return pd.DataFrame(columns=[*keys, "segment", "allowed"])
-            rows = rows.sort_values("upto")
-            allowed = EVER if entries.empty else int(entries["allowed"].max())
-            upto = rows["upto"].to_numpy()
-            passed, arrivals = walk(upto, rows["sent"].to_numpy(), pause, allowed)
-            where = upto[passed] if width is None else upto[passed] // width
-            return _labelled(rows, keys, segment=where, allowed=np.array(arrivals, dtype="int64"))
+    def downwards(labels: list[str]):
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for rows in whole_groups(batches, labels):
+                yield walk(rows, pause)
         return run
 
-    in_short = events.select("*", segment(short))
-    summaries = in_short.groupBy(*keys, "segment").applyInPandas(upwards(short), row_schema)
-    in_long = summaries.select("*", segment(long))
-    overview = in_long.groupBy(*keys, "segment").applyInPandas(upwards(long), row_schema)
-
-    if last_sent is None:
-        start = events.select(*keys).limit(0).select(*keys, F.lit(0).cast("bigint").alias("allowed"))
-    else:
-        start = last_sent.select(*keys, (_micros(F.col(ts)) + pause).alias("allowed"))
-    entries = overview.groupBy(*keys).cogroup(start.groupBy(*keys)).applyInPandas(downwards(long), entry_schema)
-    entries = (in_long.groupBy(*keys, "segment").cogroup(entries.groupBy(*keys, "segment"))
-               .applyInPandas(downwards(short), entry_schema))
-    sent = (in_short.groupBy(*keys, "segment").cogroup(entries.groupBy(*keys, "segment"))
-            .applyInPandas(downwards(None), entry_schema))
-    return sent.select(*keys, _moment(F.col("segment")).alias(ts))
-
+    def summaries(segments: DataFrame, width: int) -> DataFrame:
+        return segments.sortWithinPartitions("label", "segment", "upto").mapInPandas(upwards(width), row_schema)
 
-def _with(fields, **columns: str):
-    from pyspark.sql import types as T
+    def resolve(segments: DataFrame, entries: DataFrame, width: int) -> DataFrame:
+        """Segments that alerts come through; the others send nothing."""
+        number = F.expr(f"(upto - pmod(upto, {width}L)) div {width}L").alias("segment")
+        entered = segments.join(entries.select("label", number, "allowed"), ["label", "segment"])
+        return (entered.sortWithinPartitions("label", "segment", "upto")
+                .mapInPandas(downwards(["label", "segment"]), entry_schema))
 
-    return T.StructType([*fields, *[T.StructField(n, T.LongType()) for n in columns]])
-
-
-def _labelled(pdf: pd.DataFrame, keys: Sequence[str], **columns: np.ndarray) -> pd.DataFrame:
-    """The given columns under the key values of the group."""
-    out = pd.DataFrame(columns)
-    for position, key in enumerate(keys):
-        out.insert(position, key, pdf[key].iloc[0])
-    return out
+    # Equal moments of a key are one violation; tasks drop them before the
+    # shuffle, so a segment holds at most its number of distinct moments.
+    events = (violations.select(label, _micros(F.col(ts)).alias("upto")).dropna(subset=["upto"]).distinct()
+              .select("label", "upto", F.col("upto").alias("sent")))
+    if last_sent is not None:
+        # What is too close to an earlier alert is not sent; the rest starts anew.
+        earlier = last_sent.groupBy(label).agg((F.max(_micros(F.col(ts))) + pause).alias("allowed"))
+        events = (events.join(earlier, "label", "left")
+                  .filter("allowed is null or upto >= allowed").drop("allowed"))
+    in_short = by_segment(events, short)
+    in_long = by_segment(summaries(in_short, short), long)
+    overview = summaries(in_long, long).repartition("label").withColumn("allowed", F.lit(EVER))
+    entries = overview.sortWithinPartitions("label", "upto").mapInPandas(downwards(["label"]), entry_schema)
+    sent = resolve(in_short, resolve(in_long, entries, long), short)
+
+    key_type = T.StructType([T.StructField(k, violations.schema[k].dataType) for k in keys])
+    return sent.select(F.from_json("label", key_type, EXACT).alias("key"), _moment(F.col("upto")).alias(ts)).select("key.*", ts)

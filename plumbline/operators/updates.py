@@ -16,14 +16,14 @@ def update_where(df: DataFrame, column: str, value: Column, condition: Column) -
 
 def lose_tracking_numbers(shipments: DataFrame, one_in: int = 5) -> DataFrame:
     """Blank the tracking number of one delivered shipment in ``one_in``."""
-    drawn = draw(F.col("o_orderkey"), 53, one_in) == 0
+    drawn = draw("o_orderkey", 53, one_in) == 0
     return update_where(shipments, "tracking_number", F.lit(None).cast("string"),
                         (F.col("status") == "DELIVERED") & drawn)
 
 
 def sample_rows(df: DataFrame, key: str, k: int, salt: int) -> DataFrame:
     """``k`` rows in the order of a draw on the key: a distributed top-k."""
-    return df.orderBy(draw(F.col(key), salt, 1_000_000_007), F.col(key)).limit(k)
+    return df.orderBy(draw(key, salt, 1_000_000_007), F.col(key)).limit(k)
 
 
 def inject_duplicates(df: DataFrame, key: str, k: int, salt: int) -> DataFrame:

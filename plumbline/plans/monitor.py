@@ -28,6 +28,7 @@ class Expectation:
 class Association:
     metric: Metric
     columns: tuple[str, ...]
+    parts: tuple[Part, ...]
     expectations: list[Expectation] = field(default_factory=list)
 
     @property
@@ -54,10 +55,9 @@ class Monitor:
                      if a.metric.name == metric.name and a.columns == tuple(on)), None)
 
     def attach(self, metric: Metric, on: Sequence[str]) -> Monitor:
-        metric.bind(on)
         if self._find(metric, on):
             raise ValueError(f"{metric.name} is already attached to {list(on)}")
-        self.associations.append(Association(metric, tuple(on)))
+        self.associations.append(Association(metric, tuple(on), tuple(metric.bind(on))))
         return self
 
     def detach(self, metric: Metric, on: Sequence[str]) -> Monitor:
@@ -80,12 +80,11 @@ class Monitor:
         """Every part of every attached metric under a column name."""
         return {f"a{i}_p{j}": part
                 for i, a in enumerate(self.associations)
-                for j, part in enumerate(a.metric.bind(a.columns))}
+                for j, part in enumerate(a.parts)}
 
     def _value(self, i: int, as_of: Column) -> Column:
-        metric = self.associations[i].metric
-        names = [n for n in self.parts() if n.startswith(f"a{i}_p")]
-        return metric.finish([F.col(n) for n in names], as_of).cast("double")
+        a = self.associations[i]
+        return a.metric.finish([F.col(f"a{i}_p{j}") for j in range(len(a.parts))], as_of).cast("double")
 
     def long_form(self, wide: DataFrame, measured_at: Column, only: Sequence[int] | None = None) -> DataFrame:
         """From one row with all parts to one row per association."""
@@ -111,7 +110,7 @@ class Monitor:
         key_sets = list(dict.fromkeys(p.keys for p in parts.values() if p.keys))
         groups: dict[tuple[str, ...], list[int]] = {}
         for i, a in enumerate(self.associations):
-            keys = next((p.keys for p in a.metric.bind(a.columns) if p.keys), ())
+            keys = next((p.keys for p in a.parts if p.keys), ())
             own = keys if keys in key_sets[1:] else ()
             groups.setdefault(own, []).append(i)
         measured = None

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job here assumes.  Partition counts and memory belong to the
 # cluster, so they are left to spark-submit.
@@ -30,6 +31,11 @@ def build_session(app: str = "plumbline", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="plumbline-")
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under ``spark.checkpoint.dir``.
 
@@ -40,6 +46,13 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="plumbline-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_root()
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows, written to the shared folder and read back.  Later plans start
+    from files that outlive any executor instead of repeating the work."""
+    path = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -36,14 +36,12 @@ TIERS = ("PLATINUM", "PLATINUM", "GOLD", "GOLD", "GOLD", "SILVER", "SILVER",
 LATE_COPY = "LATE_COPY"
 # -----------------------------------------------------------------------------
 
-KEYS = {"orders": "o_orderkey", "customer": "c_custkey", "part": "p_partkey"}
-
 
 def given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def one_in_hundred(key: Column, salt: int, below: int) -> Column:
+def one_in_hundred(key: str, salt: int, below: int) -> Column:
     """True for ``below`` percent of the keys."""
     return draw(key, salt, 100) < below
 
@@ -56,7 +54,7 @@ def _with_copies(df: DataFrame, **copies: Column) -> DataFrame:
 
 
 def orders_from(source: DataFrame) -> DataFrame:
-    k = F.col("o_orderkey")
+    k = "o_orderkey"
     quantity = uniform(k, 11, 1, 25).cast("int")
     price = uniform(k, 12, 500, 29899).cast("double") / F.lit(100.0)
     null_customers = F.when(draw(k, 15, 4) == 3, 12).otherwise(8)
@@ -67,7 +65,7 @@ def orders_from(source: DataFrame) -> DataFrame:
     late = F.col("copy") == "late"
     day = F.col("o_orderdate").cast("date")
     return schemas.conform(rows.select(
-        identifier("ORD", k).alias("order_id"),
+        identifier("ORD", F.col(k)).alias("order_id"),
         F.when(draw(k, 1, 100) >= null_customers, identifier("CUST", F.col("o_custkey"))).alias("customer_id"),
         identifier("PROD", draw(k, 13, 200)).alias("product_id"),
         quantity.alias("quantity"),
@@ -89,11 +87,11 @@ def orders_from(source: DataFrame) -> DataFrame:
 
 
 def customers_from(source: DataFrame) -> DataFrame:
-    k = F.col("c_custkey")
-    user = F.concat(F.lit("user"), k.cast("string"))
+    k = "c_custkey"
+    user = F.concat(F.lit("user"), F.col(k).cast("string"))
     rows = _with_copies(source.select("c_custkey"), exact=one_in_hundred(k, 27, 2))
     return schemas.conform(rows.select(
-        identifier("CUST", k).alias("customer_id"),
+        identifier("CUST", F.col(k)).alias("customer_id"),
         F.when(one_in_hundred(k, 21, 2), F.concat(user, F.lit("nodomain.com")))
         .when(one_in_hundred(k, 21, 4), F.lit("@example.com"))
         .when(one_in_hundred(k, 21, 5), F.concat(user, F.lit("@@example.com")))
@@ -109,9 +107,9 @@ def customers_from(source: DataFrame) -> DataFrame:
 
 
 def products_from(source: DataFrame) -> DataFrame:
-    k = F.col("p_partkey")
+    k = "p_partkey"
     return schemas.conform(source.select(
-        identifier("PROD", k).alias("product_id"),
+        identifier("PROD", F.col(k)).alias("product_id"),
         F.col("p_name").alias("product_name"),
         F.when(one_in_hundred(k, 31, 5), pick(k, 35, MISSPELT_CATEGORIES))
         .otherwise(pick(k, 32, CATEGORIES)).alias("category"),
@@ -123,10 +121,10 @@ def products_from(source: DataFrame) -> DataFrame:
 
 
 def inventory_from(source: DataFrame) -> DataFrame:
-    k = F.col("p_partkey")
+    k = "p_partkey"
     return schemas.conform(source.select(
-        identifier("INV", k).alias("inventory_id"),
-        identifier("PROD", F.when(one_in_hundred(k, 41, 3), k + 90000000).otherwise(k)).alias("product_id"),
+        identifier("INV", F.col(k)).alias("inventory_id"),
+        identifier("PROD", F.when(one_in_hundred(k, 41, 3), F.col(k) + 90000000).otherwise(F.col(k))).alias("product_id"),
         pick(k, 42, WAREHOUSES).alias("warehouse_location"),
         F.when(one_in_hundred(k, 43, 5), -1 - draw(k, 44, 200))
         .otherwise(draw(k, 44, 5001)).alias("quantity_on_hand"),
@@ -144,12 +142,12 @@ def shipments_from(source: DataFrame) -> DataFrame:
 
 def loaded_shipments_from(source: DataFrame) -> DataFrame:
     """Shipments as first loaded; ``o_orderkey`` is kept for later draws."""
-    k = F.col("o_orderkey")
+    k = "o_orderkey"
     day = F.col("o_orderdate").cast("date")
     return source.select(
         "o_orderkey",
-        identifier("SHIP", k).alias("shipment_id"),
-        identifier("ORD", k).alias("order_id"),
+        identifier("SHIP", F.col(k)).alias("shipment_id"),
+        identifier("ORD", F.col(k)).alias("order_id"),
         pick(k, 51, CARRIERS).alias("carrier"),
         F.upper(F.concat(F.lit("1z"), F.lpad(draw(k, 54, 1000000000).cast("string"), 12, "0"))).alias("tracking_number"),
         F.when(one_in_hundred(k, 55, 4), F.date_add(day, 3650))
