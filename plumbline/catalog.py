@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.functions import metrics as m
-from plumbline.functions.address import extract_address, redact_address
 from plumbline.operators import cooldown, references, updates
 from plumbline.plans import alerts, enrich, root_cause, semantic, validate
 from plumbline.plans import shop_monitors as monitors
@@ -247,13 +246,7 @@ def redact_addresses(spark, d):
 
 @query
 def address_preview(spark, d):
-    """The first ten addresses by order, as extracted and as redacted."""
-    first = updates.preview(orders(spark, d).filter("shipping_address is not null")
-                            .select("order_id", "shipping_address"), "order_id")
-    address = F.col("shipping_address")
-    return enrich.flat(first.select("order_id", "shipping_address",
-                                    extract_address(address).alias("address_components"),
-                                    redact_address(address).alias("redacted_address")))
+    return enrich.address_preview(orders(spark, d))
 
 
 @query

@@ -21,11 +21,25 @@ STATES = (
 # -----------------------------------------------------------------------------
 
 
-def extract_address(address: Column) -> Column:
+# Control characters cannot be part of a matched address.
+_SEPARATOR = "\x01"
+
+
+def address_parts(address: Column) -> Column:
+    """The four parts as an array, NULL unless the whole address matches.
+
+    One replacement finds all parts in a single match; as it always adds
+    separators, an unchanged text is one that did not match.  Plans that need
+    several results per address compute this column first and hand it on.
+    """
+    marked = F.regexp_replace(address, ADDRESS, _SEPARATOR.join(f"${i + 1}" for i in range(len(ADDRESS_FIELDS))))
+    return F.split(F.nullif(marked, address), _SEPARATOR)
+
+
+def extract_address(address: Column, parts: Column | None = None) -> Column:
     """A struct with one field per part; a part that is not found is NULL."""
-    return F.struct(*[
-        F.nullif(F.regexp_extract(address, ADDRESS, i), F.lit("")).alias(field)
-        for i, field in enumerate(ADDRESS_FIELDS, start=1)])
+    parts = address_parts(address) if parts is None else parts
+    return F.struct(*[F.get(parts, F.lit(i)).alias(field) for i, field in enumerate(ADDRESS_FIELDS)])
 
 
 def is_us_address(address: Column) -> Column:
@@ -34,11 +48,9 @@ def is_us_address(address: Column) -> Column:
     return F.array_contains(known, F.regexp_extract(address, ADDRESS, 3))
 
 
-def redact_address(address: Column) -> Column:
+def redact_address(address: Column, parts: Column | None = None) -> Column:
     """Street and zip code masked, city and state kept; an address that cannot
     be taken apart is masked as a whole."""
-    city = F.regexp_extract(address, ADDRESS, 2)
-    state = F.regexp_extract(address, ADDRESS, 3)
-    return (F.when(address.isNull(), F.lit(None).cast("string"))
-            .when(city == "", F.lit("[ADDRESS]"))
-            .otherwise(F.concat(F.lit("[STREET], "), city, F.lit(" "), state, F.lit(" [ZIP]"))))
+    parts = address_parts(address) if parts is None else parts
+    masked = F.concat(F.lit("[STREET], "), F.get(parts, F.lit(1)), F.lit(" "), F.get(parts, F.lit(2)), F.lit(" [ZIP]"))
+    return F.coalesce(masked, F.when(address.isNotNull(), F.lit("[ADDRESS]")))

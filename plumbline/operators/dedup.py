@@ -26,6 +26,20 @@ def first_per_key(df: DataFrame, key: str, order_by: str, keep: Sequence[str] |
     return best.select(*[F.col(key) if c == key else F.col(f"best.{c}").alias(c) for c in columns])
 
 
+def merge_first(base: DataFrame, changes: DataFrame, key: str, order_by: str) -> DataFrame:
+    """``first_per_key`` over both, where ``base`` already has one row per key.
+
+    Only keys that changed are compared again; all other rows of ``base`` pass
+    through unshuffled when Spark finds the changed keys small enough to
+    broadcast, and through an ordinary join otherwise.
+    """
+    changed = changes.select(F.col(key).alias("changed_key")).distinct()
+    same_key = base[key].eqNullSafe(changed["changed_key"])
+    touched = base.join(changed, same_key, "left_semi")
+    untouched = base.join(changed, same_key, "left_anti")
+    return untouched.unionByName(first_per_key(touched.unionByName(changes), key, order_by))
+
+
 def first_per_key_by_rank(df: DataFrame, key: str, order_by: str) -> DataFrame:
     """The same rows by ``row_number() = 1``.  Spark also prunes this form to
     one row per key and task ahead of the shuffle, but it is batch only."""

@@ -7,14 +7,29 @@ from pyspark.sql import functions as F
 
 from plumbline.functions import address as a
 from plumbline.functions import text as t
+from plumbline.operators.updates import preview
+
+
+ADDRESS, PARTS = "shipping_address", "address_parts"
+
+
+def _taken_apart(orders: DataFrame) -> DataFrame:
+    """Addresses matched once, ahead of everything that uses their parts."""
+    return orders.withColumn(PARTS, a.address_parts(F.col(ADDRESS)))
+
+
+def _components():
+    return a.extract_address(F.col(ADDRESS), F.col(PARTS)).alias("address_components")
+
+
+def _redacted():
+    return a.redact_address(F.col(ADDRESS), F.col(PARTS)).alias("redacted_address")
 
 
 def enriched_orders(orders: DataFrame) -> DataFrame:
     """Address parts and a masked address next to the business columns."""
-    return orders.select(
-        "order_id", "customer_id", "order_total", "order_date", "region", "shipping_address",
-        a.extract_address(F.col("shipping_address")).alias("address_components"),
-        a.redact_address(F.col("shipping_address")).alias("redacted_address"))
+    return _taken_apart(orders).select(
+        "order_id", "customer_id", "order_total", "order_date", "region", ADDRESS, _components(), _redacted())
 
 
 def flat(enriched: DataFrame) -> DataFrame:
@@ -24,15 +39,20 @@ def flat(enriched: DataFrame) -> DataFrame:
 
 
 def extracted_addresses(orders: DataFrame) -> DataFrame:
-    return flat(orders.filter(F.col("shipping_address").isNotNull()).select(
-        "order_id", "shipping_address",
-        a.extract_address(F.col("shipping_address")).alias("address_components")))
+    known = orders.filter(F.col(ADDRESS).isNotNull())
+    return flat(_taken_apart(known).select("order_id", ADDRESS, _components()))
 
 
 def redacted_addresses(orders: DataFrame) -> DataFrame:
-    return orders.filter(F.col("shipping_address").isNotNull()).select(
-        "order_id", F.col("shipping_address").alias("original_address"),
-        a.redact_address(F.col("shipping_address")).alias("redacted_address"))
+    known = orders.filter(F.col(ADDRESS).isNotNull())
+    return _taken_apart(known).select("order_id", F.col(ADDRESS).alias("original_address"), _redacted())
+
+
+def address_preview(orders: DataFrame, n: int = 10) -> DataFrame:
+    """The first ``n`` addresses by order, as extracted and as redacted.  The
+    rows are chosen first, so only those are worked on."""
+    first = preview(orders.filter(F.col(ADDRESS).isNotNull()).select("order_id", ADDRESS), "order_id", n)
+    return flat(_taken_apart(first).select("order_id", ADDRESS, _components(), _redacted()))
 
 
 def redacted_documents(documents: DataFrame) -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -54,7 +53,7 @@ REFRESHES = _schema(
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Exactly the declared columns, in order and with the declared types."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+    return df.selectExpr(*[f"cast({f.name} as {f.dataType.simpleString()}) as {f.name}" for f in schema])
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

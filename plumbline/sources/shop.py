@@ -49,8 +49,9 @@ def one_in_hundred(key: str, salt: int, below: int) -> Column:
 def _with_copies(df: DataFrame, **copies: Column) -> DataFrame:
     """Every row once, plus once more for each condition that holds, all from
     one scan; ``copy`` names the kind of row."""
-    kinds = [F.lit("original")] + [F.when(hit, F.lit(kind)) for kind, hit in copies.items()]
-    return df.withColumn("copy", F.explode(F.array_compact(F.array(*kinds))))
+    none = F.array().cast("array<string>")
+    kinds = [F.when(hit, F.array(F.lit(kind))).otherwise(none) for kind, hit in copies.items()]
+    return df.withColumn("copy", F.explode(F.concat(F.array(F.lit("original")), *kinds)))
 
 
 def orders_from(source: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from plumbline.functions.metrics import moment
-from plumbline.operators.dedup import first_per_key
+from plumbline.operators.dedup import merge_first
 from plumbline.plans.validate import validated_orders
 from plumbline.sources import schemas
 from plumbline.sources.storage import BatchLog, VersionedTable
@@ -81,8 +81,7 @@ class ValidatedTable:
         changes = self.changes.read().filter(F.col("batch_id") > covered)
         if through_batch is not None:
             changes = changes.filter(F.col("batch_id") <= through_batch)
-        rows = self.base.read().unionByName(changes.drop("batch_id"))
-        return first_per_key(rows, "order_id", "order_date")
+        return merge_first(self.base.read(), changes.drop("batch_id"), "order_id", "order_date")
 
     def read(self) -> DataFrame:
         return self._merged()

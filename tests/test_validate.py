@@ -7,7 +7,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from plumbline.operators.dedup import first_per_key, first_per_key_by_rank
+from plumbline.operators.dedup import first_per_key, first_per_key_by_rank, merge_first
 from plumbline.plans import validate
 from plumbline.sources import schemas
 from plumbline.sources.shop import raw
@@ -71,6 +71,16 @@ def test_both_dedup_forms_agree(spark):
     assert one.exceptAll(other).isEmpty() and other.exceptAll(one).isEmpty()
 
 
+def test_merging_changes_equals_doing_it_all_again(spark):
+    base = orders(spark, order("A"), order("B", order_date=None), order(None, status="OLD"), order("D"))
+    changes = orders(spark, order("A", order_date=date(2000, 1, 1)), order("A", order_date=date(2002, 1, 1)),
+                     order("B", status="DATED"), order(None, order_date=date(2000, 1, 1), status="NEW"), order("E"))
+    merged = merge_first(base, changes, "order_id", "order_date")
+    whole = first_per_key(base.unionByName(changes), "order_id", "order_date")
+    assert merged.count() == 5
+    assert merged.exceptAll(whole).isEmpty() and whole.exceptAll(merged).isEmpty()
+
+
 def test_custom_rules(spark):
     bulk = validate.Rule("bulk", "quantity > 1", 40)
     row = validate.score(orders(spark, order()), hard=[validate.Rule("no_region", "region is null")],
