@@ -16,11 +16,12 @@ rounds downwards find the alerts inside the segments.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from datetime import timedelta
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,91 +39,114 @@ def _moment(micros: Column) -> Column:
     return F.timestamp_add("MICROSECOND", micros, F.lit(EPOCH).cast("timestamp_ntz"))
 
 
-def whole_groups(batches: Iterator[pd.DataFrame], labels: Sequence[str]) -> Iterator[pd.DataFrame]:
-    """Batches of a sorted partition, cut so that no group is divided, with the
-    running number of the group in ``g``."""
-    waiting: list[pd.DataFrame] = []
+def _changes(values: np.ndarray) -> np.ndarray:
+    """True for the first row of every run of equal values."""
+    return np.append(True, values[1:] != values[:-1])
+
+
+def whole_runs(batches: Iterator[pa.RecordBatch], run_of: Callable[[pa.Table], np.ndarray],
+               enough: int = 1 << 18) -> Iterator[pa.Table]:
+    """The rows of a sorted partition in portions that divide no run."""
+    waiting, rows, wanted = [], 0, enough
     for batch in batches:
-        if batch.empty:
-            continue
-        last = np.ones(len(batch), dtype=bool)
-        for c in labels:
-            last &= (batch[c] == batch[c].iloc[-1]).to_numpy()
-        begin = len(batch) - int(last.sum())
-        if begin or (waiting and any(waiting[-1][c].iloc[-1] != batch[c].iloc[0] for c in labels)):
-            yield _numbered(pd.concat([*waiting, batch.iloc[:begin]], ignore_index=True), labels)
-            waiting = []
-        waiting.append(batch.iloc[begin:])
-    if waiting:
-        yield _numbered(pd.concat(waiting, ignore_index=True), labels)
-
-
-def _numbered(rows: pd.DataFrame, labels: Sequence[str]) -> pd.DataFrame:
-    starts = np.zeros(len(rows), dtype=bool)
-    for c in labels:
-        values = rows[c].to_numpy()
-        starts[1:] |= values[1:] != values[:-1]
-    return rows.assign(g=np.cumsum(starts))
-
-
-def _lanes(rows: pd.DataFrame, pause: int) -> Iterator[tuple[pd.DataFrame, np.ndarray, int, int]]:
-    """Rows with one position each, so that a single sorted search serves many
-    groups: every group gets a lane that no moment of interest leaves.  Yields
-    as many groups at a time as 64 bits can hold."""
-    origin = int(rows["upto"].min())
-    lane = int(rows["upto"].max()) - origin + pause + 1
-    at_once = max(1, 2**62 // lane)
-    for first in range(0, int(rows["g"].iloc[-1]) + 1, at_once):
-        some = rows[(rows["g"] >= first) & (rows["g"] < first + at_once)].reset_index(drop=True)
-        some = some.assign(g=some["g"] - first)
-        yield some, some["g"].to_numpy() * lane + (some["upto"].to_numpy() - origin), lane, origin
-
-
-def summarise(rows: pd.DataFrame, pause: int, width: int) -> pd.DataFrame:
+        waiting.append(batch)
+        rows += batch.num_rows
+        if rows >= wanted:
+            portion = pa.Table.from_batches(waiting).combine_chunks()
+            last = int(np.flatnonzero(_changes(run_of(portion)))[-1])
+            if last:
+                yield portion.slice(0, last)
+            rest = portion.slice(last)
+            waiting, rows = rest.to_batches(), rest.num_rows
+            wanted = max(enough, 2 * rows)
+    if rows:
+        yield pa.Table.from_batches(waiting).combine_chunks()
+
+
+def label_codes(rows: pa.Table) -> np.ndarray:
+    return rows["label"].combine_chunks().dictionary_encode().indices.to_numpy()
+
+
+def label_runs(rows: pa.Table) -> np.ndarray:
+    """Numbers that change where the label does."""
+    labels = rows["label"].combine_chunks()
+    return np.append(0, np.cumsum(pc.not_equal(labels[1:], labels[:-1]).to_numpy(zero_copy_only=False)))
+
+
+class Lanes:
+    """The rows of many groups on one axis, so that a single sorted search serves
+    them all: every group gets a lane that no moment of interest leaves."""
+
+    def __init__(self, group: np.ndarray, upto: np.ndarray, sent: np.ndarray, pause: int):
+        self.group = np.cumsum(_changes(group)) - 1
+        self.upto, self.sent = upto, sent
+        self.origin = int(upto.min())
+        self.lane = int(upto.max()) - self.origin + pause + 1
+        self.position = self.group * self.lane + (upto - self.origin)
+
+    def first_from(self, group: np.ndarray, moment: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The first row of each group at or after a moment, and whether there is one."""
+        offset = np.clip(moment - self.origin, 0, self.lane - 1)
+        row = np.searchsorted(self.position, group * self.lane + offset)
+        return row, np.append(self.group, -1)[row] == group
+
+
+def grouped(rows: pa.Table, width: int | None, pause: int) -> Iterator[tuple[pa.Table, Lanes]]:
+    """Rows ordered by moment, brought together by label and segment; as many
+    groups at a time as have room for their lanes in 64 bits."""
+    upto, codes = rows["upto"].to_numpy(), label_codes(rows)
+    segment = np.zeros_like(upto) if width is None else upto // width
+    group = (segment - segment.min()) * (int(codes.max()) + 1) + codes
+    order = np.argsort(group, kind="stable")
+    rows, group = rows.take(pa.array(order)), group[order]
+    upto = upto[order]
+    sent = rows["sent"].to_numpy() if "sent" in rows.column_names else upto
+    room = max(1, 2**62 // (int(upto.max()) - int(upto.min()) + pause + 1))
+    cuts = [*np.flatnonzero(_changes(group))[::room], len(group)]
+    for begin, end in zip(cuts[:-1], cuts[1:]):
+        part = slice(begin, end)
+        yield rows.slice(begin, end - begin), Lanes(group[part], upto[part], sent[part], pause)
+
+
+def _batch(rows: pa.Table, chosen: np.ndarray, **columns: np.ndarray) -> pa.RecordBatch:
+    label = rows["label"].combine_chunks().take(pa.array(chosen))
+    return pa.RecordBatch.from_arrays([label, *[pa.array(v) for v in columns.values()]], ["label", *columns])
+
+
+def summarise(rows: pa.Table, lanes: Lanes, pause: int, width: int) -> pa.RecordBatch:
     """Rows of whole segments to the rows of their summaries."""
-    done = []
-    for some, position, lane, origin in _lanes(rows, pause):
-        g, sent = some["g"].to_numpy(), some["sent"].to_numpy()
-        upto = some["upto"].to_numpy()
-        n = len(some)
-        follower = np.searchsorted(position, g * lane + (sent - origin) + pause)
-        follows = np.append(g, -1)[follower] == g
-        last = np.where(follows, follower, np.arange(n))
-        while True:                     # jump to the last alert of each chain
-            further = last[last]
-            if np.array_equal(further, last):
-                break
-            last = further
-        final = sent[last]
-        same_group = np.append(g[1:] == g[:-1], False)
-        # An alert before the segment forbids less than its first ``pause``, so
-        # only rows up to the first one beyond that can be where alerts resume.
-        beyond = upto - some["segment"].to_numpy() * width >= pause - 1
-        reachable = np.append(True, ~(same_group & beyond)[:-1])
-        merged = same_group & np.append(reachable[1:], False) & np.append(final[1:] == final[:-1], False)
-        keep = reachable & ~merged
-        done.append(pd.DataFrame({"label": some["label"][keep], "upto": upto[keep], "sent": final[keep]}))
-    return pd.concat(done)
-
-
-def walk(rows: pd.DataFrame, pause: int) -> pd.DataFrame:
+    follower, follows = lanes.first_from(lanes.group, lanes.sent + pause)
+    last = np.where(follows, follower, np.arange(len(follower)))
+    while True:                         # jump to the last alert of each chain
+        further = last[last]
+        if np.array_equal(further, last):
+            break
+        last = further
+    final = lanes.sent[last]
+    same_group = np.append(lanes.group[1:] == lanes.group[:-1], False)
+    # An alert before the segment forbids less than its first ``pause``, so only
+    # rows up to the first one beyond that can be where alerts resume.
+    beyond = lanes.upto % width >= pause - 1
+    reachable = np.append(True, ~(same_group & beyond)[:-1])
+    merged = same_group & np.append(reachable[1:], False) & np.append(final[1:] == final[:-1], False)
+    keep = np.flatnonzero(reachable & ~merged)
+    return _batch(rows, keep, upto=lanes.upto[keep], sent=final[keep])
+
+
+def walk(rows: pa.Table, lanes: Lanes, pause: int) -> pa.RecordBatch:
     """The rows passed on the way through each group, starting from its
     ``allowed``, each with the moment from which alerts were allowed there."""
-    done = []
-    for some, position, lane, origin in _lanes(rows, pause):
-        g = np.append(some["g"].to_numpy(), -1)
-        sent = some["sent"].to_numpy()
-        group = np.unique(some["g"].to_numpy())
-        allowed = some.groupby("g")["allowed"].max().to_numpy()
-        while len(group):
-            offset = np.clip(allowed - origin, 0, lane - 1)
-            row = np.searchsorted(position, group * lane + offset)
-            here = g[row] == group
-            row, group = row[here], group[here]
-            done.append(pd.DataFrame({"label": some["label"].to_numpy()[row], "upto": some["upto"].to_numpy()[row],
-                                      "allowed": allowed[here]}))
-            allowed = sent[row] + pause
-    return pd.concat(done)
+    group, first = np.unique(lanes.group, return_index=True)
+    allowed = rows["allowed"].to_numpy()[first]
+    passed, arrivals = [], []
+    while len(group):
+        row, found = lanes.first_from(group, allowed)
+        row, group = row[found], group[found]
+        passed.append(row)
+        arrivals.append(allowed[found])
+        allowed = lanes.sent[row] + pause
+    chosen = np.concatenate(passed)
+    return _batch(rows, chosen, upto=lanes.upto[chosen], allowed=np.concatenate(arrivals))
 
 
 def alerts_with_cooldown(violations: DataFrame, keys: Sequence[str], ts: str, cooldown: timedelta,
@@ -136,37 +160,43 @@ def alerts_with_cooldown(violations: DataFrame, keys: Sequence[str], ts: str, co
     label = F.to_json(F.struct(*keys), EXACT).alias("label")
     row_schema, entry_schema = "label string, upto long, sent long", "label string, upto long, allowed long"
 
-    def by_segment(df: DataFrame, width: int) -> DataFrame:
+    def segment(width: int) -> Column:
         # Whole numbers throughout: a rounded quotient could miss the boundary.
-        number = F.expr(f"(upto - pmod(upto, {width}L)) div {width}L").alias("segment")
-        return df.select("*", number).repartition("label", "segment")
+        return F.expr(f"(upto - pmod(upto, {width}L)) div {width}L").alias("segment")
+
+    def by_segment(df: DataFrame, width: int) -> DataFrame:
+        return df.select("*", segment(width)).repartition("label", "segment")
 
     def upwards(width: int):
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for rows in whole_groups(batches, ["label", "segment"]):
-                yield summarise(rows, pause, width)
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for rows in whole_runs(batches, lambda t: t["upto"].to_numpy() // width):
+                for some, lanes in grouped(rows, width, pause):
+                    yield summarise(some, lanes, pause, width)
         return run
 
-    def downwards(labels: list[str]):
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for rows in whole_groups(batches, labels):
-                yield walk(rows, pause)
+    def downwards(width: int | None):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            runs = label_runs if width is None else lambda t: t["upto"].to_numpy() // width
+            for rows in whole_runs(batches, runs):
+                for some, lanes in grouped(rows, width, pause):
+                    yield walk(some, lanes, pause)
         return run
 
     def summaries(segments: DataFrame, width: int) -> DataFrame:
-        return segments.sortWithinPartitions("label", "segment", "upto").mapInPandas(upwards(width), row_schema)
+        """Ordered by moment alone, which Spark does by radix sort; segments are
+        spans of time, so they come one after the other."""
+        return segments.drop("segment").sortWithinPartitions("upto").mapInArrow(upwards(width), row_schema)
 
     def resolve(segments: DataFrame, entries: DataFrame, width: int) -> DataFrame:
-        """Segments that alerts come through; the others send nothing."""
-        number = F.expr(f"(upto - pmod(upto, {width}L)) div {width}L").alias("segment")
-        entered = segments.join(entries.select("label", number, "allowed"), ["label", "segment"])
-        return (entered.sortWithinPartitions("label", "segment", "upto")
-                .mapInPandas(downwards(["label", "segment"]), entry_schema))
+        """Segments that alerts come through; the others send nothing.  There is
+        one entry per segment, so hashing them takes no more room than the rows."""
+        entered = segments.join(entries.select("label", segment(width), "allowed").hint("shuffle_hash"),
+                                ["label", "segment"])
+        return entered.drop("segment").sortWithinPartitions("upto").mapInArrow(downwards(width), entry_schema)
 
     # Equal moments of a key are one violation; tasks drop them before the
     # shuffle, so a segment holds at most its number of distinct moments.
-    events = (violations.select(label, _micros(F.col(ts)).alias("upto")).dropna(subset=["upto"]).distinct()
-              .select("label", "upto", F.col("upto").alias("sent")))
+    events = violations.select(label, _micros(F.col(ts)).alias("upto")).dropna(subset=["upto"]).distinct()
     if last_sent is not None:
         # What is too close to an earlier alert is not sent; the rest starts anew.
         earlier = last_sent.groupBy(label).agg((F.max(_micros(F.col(ts))) + pause).alias("allowed"))
@@ -175,7 +205,7 @@ def alerts_with_cooldown(violations: DataFrame, keys: Sequence[str], ts: str, co
     in_short = by_segment(events, short)
     in_long = by_segment(summaries(in_short, short), long)
     overview = summaries(in_long, long).repartition("label").withColumn("allowed", F.lit(EVER))
-    entries = overview.sortWithinPartitions("label", "upto").mapInPandas(downwards(["label"]), entry_schema)
+    entries = overview.sortWithinPartitions("label", "upto").mapInArrow(downwards(None), entry_schema)
     sent = resolve(in_short, resolve(in_long, entries, long), short)
 
     key_type = T.StructType([T.StructField(k, violations.schema[k].dataType) for k in keys])
