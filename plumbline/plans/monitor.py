@@ -40,7 +40,7 @@ class Monitor:
     """What is measured on one table (``database.schema.table``).
 
     A monitor is configuration: every method that takes a DataFrame returns a
-    lazy DataFrame, and all attached metrics are computed in one aggregate.
+    lazy DataFrame, and the attached metrics are measured together.
     """
 
     def __init__(self, table: str):
@@ -102,21 +102,18 @@ class Monitor:
     def measure(self, df: DataFrame, as_of: datetime) -> DataFrame:
         """The current value of every attached metric, as rows of the result log.
 
-        One scan and one aggregate.  Counting distinct keys over several key
-        sets in one aggregate would multiply the rows per set, so each further
-        key set gets an aggregate (and scan) of its own.
+        All metrics without keys share one scan and one aggregate, which sends a
+        single row per task.  Distinct keys have to be shuffled, so the metrics
+        of a key set share an aggregate of their own: its shuffle carries the
+        keys and nothing else, and its scan reads only the key columns.
         """
-        parts = self.parts()
-        key_sets = list(dict.fromkeys(p.keys for p in parts.values() if p.keys))
-        groups: dict[tuple[str, ...], list[int]] = {}
+        together: dict[tuple[str, ...], list[int]] = {}
         for i, a in enumerate(self.associations):
-            keys = next((p.keys for p in a.parts if p.keys), ())
-            own = keys if keys in key_sets[1:] else ()
-            groups.setdefault(own, []).append(i)
+            together.setdefault(next((p.keys for p in a.parts if p.keys), ()), []).append(i)
         measured = None
-        for chosen in groups.values():
-            aggregates = [p.aggregate().alias(n) for n, p in parts.items()
-                          if int(n[1:].split("_")[0]) in chosen]
+        for chosen in together.values():
+            aggregates = [p.aggregate().alias(f"a{i}_p{j}")
+                          for i in chosen for j, p in enumerate(self.associations[i].parts)]
             long = self.long_form(df.agg(*aggregates), moment(as_of), chosen)
             measured = long if measured is None else measured.unionByName(long)
         if measured is None:
