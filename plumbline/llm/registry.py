@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import langid, licences, mixing, quality, sharding
+from plumbline.llm import langid, licences, mixing, quality, repeats, sharding
 from plumbline.llm.sql import ORACLE_SQL as ORACLE_SQL
 
 
@@ -35,6 +35,14 @@ def op7_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scanned(docs).select("doc_id", "licence_digest", "licence_id")
 
 
+def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    per_text = repeats.cut_texts(docs).select(
+        "text_key", "n_bytes", F.expr("aggregate(spans, 0L, (n, s) -> n + s.stop - s.start)").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    return repeats.of_rows(docs, per_text).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(False))
 
@@ -52,5 +60,6 @@ QUERIES = {
     "op3_sharding": op3_sharding,
     "op5_quality": op5_quality,
     "op7_licences": op7_licences,
+    "op8_repeats": op8_repeats,
     "op10_langid": op10_langid,
 }
