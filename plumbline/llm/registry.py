@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import langid, licences, mixing, quality, repeats, sharding
+from plumbline.llm import langid, licences, mixing, quality, repeats, sharding, similar
 from plumbline.llm.sql import ORACLE_SQL as ORACLE_SQL
 
 
@@ -18,6 +18,10 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(docs).select("doc_id", "source", "size", "source_size", "target", "taken", "copies")
 
 
+def op2_similar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar.linked(documents(spark, sf_dir).select("doc_id", "text")).select("doc_id", "class_id", "n_links")
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return sharding.sharded(docs).select(
@@ -57,6 +61,7 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op2_similar": op2_similar,
     "op3_sharding": op3_sharding,
     "op5_quality": op5_quality,
     "op7_licences": op7_licences,
