@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import langid, licences, mixing, quality, repeats, sharding, similar
+from plumbline.llm import langid, leaks, licences, mixing, pseudolm, quality, repeats, sharding, similar, surrogates
 from plumbline.llm.sql import ORACLE_SQL as ORACLE_SQL
 
 
+#: The key of the registered query; a real one is a secret of the deployment.
+SURROGATE_KEY = "surrogate-key"
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
@@ -28,12 +32,21 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op4_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.replaced(documents(spark, sf_dir).select("doc_id", "text"), SURROGATE_KEY).select("doc_id", "text", "n_entities")
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return quality.judged(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                                        "base_failed", "kept")
 
 
+def op6_pseudolm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return pseudolm.scored(docs, pseudolm.trained(docs)).select("doc_id", "n_tokens", "log_likelihood", "mean_log_likelihood")
+
+
 def op7_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return licences.scanned(docs).select("doc_id", "licence_digest", "licence_id")
@@ -47,6 +60,11 @@ def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.of_rows(docs, per_text).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op9_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return leaks.leaks(documents(spark, sf_dir).select("doc_id", "text"), items).select("doc_id", "item_id", "score", "last_word")
+
+
 def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(False))
 
@@ -63,8 +81,11 @@ QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_similar": op2_similar,
     "op3_sharding": op3_sharding,
+    "op4_surrogates": op4_surrogates,
     "op5_quality": op5_quality,
+    "op6_pseudolm": op6_pseudolm,
     "op7_licences": op7_licences,
     "op8_repeats": op8_repeats,
+    "op9_leaks": op9_leaks,
     "op10_langid": op10_langid,
 }
