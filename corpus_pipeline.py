@@ -1,4 +1,72 @@
-STAGES = []
+"""A training corpus in five steps, each an operator of ``plumbline.llm``.
+
+Every stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written
+to the shared folder and read again as the next one's documents.  All but the
+last return the columns of ``documents``.
+
+1. language: documents without a letter, or whose language is ambiguous, go.
+2. near_duplicates: of every class of near copies, the document with the least id
+   stays, a single row of it.
+3. decontamination: documents that hold a passage of a benchmark item go.
+4. mixing: a row stays as often as the mix takes its document: not at all, or up
+   to three times.
+5. sharding: adds the columns shard and slot.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from plumbline.llm import langid, leaks, mixing, sharding, similar
+from plumbline.session import written
+
+#: No SQL: learned languages, MinHash classes, alignments and balanced draws are not expressible; see tests/llm/test_pipeline.py.
 ORACLE_SQL = None
-def run(spark, sf_dir):
-    raise NotImplementedError
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    learn = docs.filter(F.crc32(F.col("doc_id").cast("string")) % 5 != 0)
+    found = langid.predicted(docs, langid.trained(learn))
+    return found.filter(f"lang_pred != '{langid.UNKNOWN}' and not ambiguous").select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    links = similar.linked(docs.select("doc_id", "text"))
+    # Of each class the row with the least (id, key); rows without words are no copies of anything.
+    kept = links.filter("set_key is not null").groupBy("class_id").agg(F.min(F.struct(F.col("doc_id"), F.col("row_key"))).alias("first"))
+    kept = written(kept.filter("class_id is not null").select(F.col("first.row_key").alias("_keep"))
+                   .unionByName(links.filter("set_key is null or class_id is null").select(F.col("row_key").alias("_keep"))).distinct(), "kept")
+    keyed = docs.withColumn("_key", similar.row_key())
+    once = keyed.join(kept, F.col("_key") == F.col("_keep")).drop("_keep")
+    return once.dropDuplicates(["_key"]).select(*docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return leaks.clean(docs, items)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    mix = mixing.mixed(docs)
+    return mix.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).select(*docs.columns)
+
+
+def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return sharding.sharded(docs).select(*docs.columns, "shard", "slot")
+
+
+STAGES = [
+    ("language", language),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("mixing", mixing_stage),
+    ("sharding", shards),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return docs

@@ -186,6 +186,27 @@ def _matches(items: Items, seeds: tuple, n: int, threshold: float, least: int):
     return F.arrow_udf(run, "array<struct<item: int, score: double, last_word: long>>")
 
 
+def _block_seeds(docs: DataFrame, block: Items, n: int, stretch: int, text: str) -> tuple:
+    """The block's seeds, by the frequency of its words in all documents."""
+    vocabulary, at = np.unique(block.words, return_inverse=True)
+    often = np.zeros(len(vocabulary))
+    if len(vocabulary):
+        counts = docs.select(F.lower(F.col(f"`{text}`")).alias("text")).mapInArrow(_counts(vocabulary), "word long, n long") \
+            .groupBy("word").agg(F.sum("n").alias("n")).toPandas()  # a row for each word of the block at most
+        often[counts["word"].to_numpy(int)] = counts["n"].to_numpy()
+    return rare_seeds(block, np.log1p(often)[at], n, stretch)
+
+
+def clean(docs: DataFrame, items: DataFrame, n: int = 3, stretch: int = 4, threshold: float = 0.5, least: int = 6,
+          block_words: int = 1 << 20, text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+    """The rows of ``docs`` in which no item is found."""
+    out = docs
+    for block in blocks(items, item_id, item_text, block_words):
+        found = _matches(block, _block_seeds(docs, block, n, stretch, text), n, threshold, least)
+        out = out.filter(F.size(found(F.lower(F.col(f"`{text}`")))) == 0)
+    return out
+
+
 def leaks(docs: DataFrame, items: DataFrame, n: int = 3, stretch: int = 4, threshold: float = 0.5, least: int = 6,
           block_words: int = 1 << 20, text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """The rows of ``docs`` once for every item found in them, with item_id, score and last_word."""
@@ -196,13 +217,7 @@ def leaks(docs: DataFrame, items: DataFrame, n: int = 3, stretch: int = 4, thres
     body = F.lower(F.col(f"`{text}`"))
     out = None
     for block in blocks(items, item_id, item_text, block_words):
-        vocabulary, at = np.unique(block.words, return_inverse=True)
-        counts = docs.select(body.alias("text")).mapInArrow(_counts(vocabulary), "word long, n long") \
-            .groupBy("word").agg(F.sum("n").alias("n")).toPandas() if len(vocabulary) else None  # a row for each word of the block at most
-        often = np.zeros(len(vocabulary))
-        if counts is not None:
-            often[counts["word"].to_numpy(int)] = counts["n"].to_numpy()
-        seeds = rare_seeds(block, np.log1p(often)[at], n, stretch)
+        seeds = _block_seeds(docs, block, n, stretch, text)
         names = spark.createDataFrame(list(enumerate(block.ids)), f"_item int, item_id {id_type.simpleString()}")
         found = docs.select(*(F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(kept)),
                             F.explode(_matches(block, seeds, n, threshold, least)(body)).alias("_m"))
