@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.llm import langid, leaks, mixing, sharding, similar
+from plumbline.llm.columns import renamed
 from plumbline.session import written
 
 #: No SQL: learned languages, MinHash classes, alignments and balanced draws are not expressible; see tests/llm/test_pipeline.py.
@@ -27,8 +28,9 @@ ORACLE_SQL = None
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     learn = docs.filter(F.crc32(F.col("doc_id").cast("string")) % 5 != 0)
-    found = langid.predicted(docs, langid.trained(learn))
-    return found.filter(f"lang_pred != '{langid.UNKNOWN}' and not ambiguous").select(*docs.columns)
+    table, name, back = renamed(docs)
+    found = langid.predicted(table, langid.trained(learn), name["text"])
+    return found.filter(f"lang_pred != '{langid.UNKNOWN}' and not ambiguous").select(*back)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,9 +39,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     kept = links.filter("set_key is not null").groupBy("class_id").agg(F.min(F.struct(F.col("doc_id"), F.col("row_key"))).alias("first"))
     kept = written(kept.filter("class_id is not null").select(F.col("first.row_key").alias("_keep"))
                    .unionByName(links.filter("set_key is null or class_id is null").select(F.col("row_key").alias("_keep"))).distinct(), "kept")
-    keyed = docs.withColumn("_key", similar.row_key())
-    once = keyed.join(kept, F.col("_key") == F.col("_keep")).drop("_keep")
-    return once.dropDuplicates(["_key"]).select(*docs.columns)
+    table, name, back = renamed(docs)
+    keyed = table.withColumn("_key", similar.row_key(name["doc_id"], name["text"]))
+    return keyed.join(kept, F.col("_key") == F.col("_keep"), "left_semi").dropDuplicates(["_key"]).select(*back)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,12 +50,14 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    mix = mixing.mixed(docs)
-    return mix.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).select(*docs.columns)
+    table, name, back = renamed(docs)
+    mix = mixing.mixed(table, source=name["source"], text=name["text"], doc_id=name["doc_id"])
+    return mix.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).select(*back)
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return sharding.sharded(docs).select(*docs.columns, "shard", "slot")
+    found = sharding.sharded(docs)
+    return found.select(*(F.col(f"`{c}`") for c in found.columns if c not in ("size", "text_crc32")))
 
 
 STAGES = [

@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.llm.columns import aside
 from plumbline.llm.words import portions, text_bytes
 
 UNKNOWN = "und"
@@ -175,6 +176,6 @@ def predicted(docs: DataFrame, model: Model, text: str = "text", least_lead: flo
     """Adds lang_pred, score (0 to 1) and ambiguous (the lead over the second language is small)."""
     added = ("lang_pred", "score", "ambiguous")
     body: Column = F.col(f"`{text}`")
-    kept = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c not in added),
-                       _predictor(model, least_lead)(F.lower(body), F.coalesce(body.rlike(r"\p{L}"), F.lit(False))).alias("_found"))
-    return kept.select(*(F.col(f"`{c}`") for c in kept.columns if c != "_found"), *(F.col(f"_found.{c}").alias(c) for c in added))
+    away, back = aside(docs, *added)
+    found = _predictor(model, least_lead)(F.lower(body), F.coalesce(body.rlike(r"\p{L}"), F.lit(False))).alias("_found")
+    return docs.select(*away, found).select(*back, *(F.col(f"_found.{c}").alias(c) for c in added))

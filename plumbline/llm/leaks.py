@@ -34,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.llm.columns import aside
 from plumbline.llm.words import ngram_hashes, portions, text_bytes, word_hashes, word_spans
 
 _KEPT = np.ones(256, bool)
@@ -213,18 +214,17 @@ def leaks(docs: DataFrame, items: DataFrame, n: int = 3, stretch: int = 4, thres
     spark = docs.sparkSession
     id_type = items.schema[item_id].dataType
     added = ("item_id", "score", "last_word")
-    kept = [c for c in docs.columns if c not in added]
+    away, back = aside(docs, *added)
     body = F.lower(F.col(f"`{text}`"))
     out = None
     for block in blocks(items, item_id, item_text, block_words):
         seeds = _block_seeds(docs, block, n, stretch, text)
         names = spark.createDataFrame(list(enumerate(block.ids)), f"_item int, item_id {id_type.simpleString()}")
-        found = docs.select(*(F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(kept)),
-                            F.explode(_matches(block, seeds, n, threshold, least)(body)).alias("_m"))
+        found = docs.select(*away, F.explode(_matches(block, seeds, n, threshold, least)(body)).alias("_m"))
         found = found.join(F.broadcast(names), F.col("_m.item") == F.col("_item")).select(  # a block's items, bounded by block_words
-            *(F.col(f"_c{i}").alias(c) for i, c in enumerate(kept)), "item_id", "_m.score", "_m.last_word")
+            *back, "item_id", "_m.score", "_m.last_word")
         out = found if out is None else out.unionByName(found)
     if out is None:
-        out = docs.select(*(F.col(f"`{c}`") for c in kept), F.lit(None).cast(id_type).alias("item_id"),
+        out = docs.select(*away).select(*back, F.lit(None).cast(id_type).alias("item_id"),
                           F.lit(None).cast("double").alias("score"), F.lit(None).cast("long").alias("last_word")).filter(F.lit(False))
     return out

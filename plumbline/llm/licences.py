@@ -20,6 +20,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.llm.columns import aside
 from plumbline.llm.licence_texts import KNOWN
 
 #: Lines that name a holder: they differ from copy to copy.
@@ -63,7 +64,8 @@ def digests(known: dict[str, str] = KNOWN) -> dict[str, str]:
 def scanned(docs: DataFrame, known: dict[str, str] = KNOWN, text: str = "text") -> DataFrame:
     """Adds licence_digest and licence_id (null: not a known licence)."""
     listed = docs.sparkSession.createDataFrame(sorted(digests(known).items()) or [], "_digest string, licence_id string")
-    kept = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c not in ("licence_digest", "licence_id")))
-    hashed = kept.withColumn("licence_digest", F.sha2(canonical(F.col(f"`{text}`")).cast("binary"), 256))
+    away, back = aside(docs, "licence_digest", "licence_id")
+    hashed = docs.select(*away, F.sha2(canonical(F.col(f"`{text}`")).cast("binary"), 256).alias("licence_digest"))
     # The known texts are a list in code: a few dozen digests, whatever the table.
-    return hashed.join(F.broadcast(listed), F.col("licence_digest") == F.col("_digest"), "left").drop("_digest")
+    return hashed.join(F.broadcast(listed), F.col("licence_digest") == F.col("_digest"), "left") \
+        .select(*back, "licence_digest", "licence_id")

@@ -35,6 +35,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from plumbline.llm.columns import aside
 from plumbline.llm.words import WORD
 from plumbline.session import written
 
@@ -152,10 +153,9 @@ def mixed(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: float =
     units are ordered by a hash of the row's id and text, and a block's draws
     depend only on the seed, the level, the source and the block.
     """
-    kept = [c for c in docs.columns if c not in ("size", "source_size", "target", "copies", "taken")]
-    # Under names of our own, so that no column of the table can clash.
+    away, back = aside(docs, "size", "source_size", "target", "copies", "taken")
     rows = docs.select(
-        *(F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(kept)), F.col(f"`{source}`").alias("_source"),
+        *away, F.col(f"`{source}`").alias("_source"),
         word_count(F.col(f"`{text}`")).alias("_size"),
         F.xxhash64(F.col(f"`{doc_id}`"), F.col(f"`{text}`"), F.col(f"`{source}`")).alias("_key"))
     units = written(rows.groupBy("_source", "_key").agg(F.sum("_size").alias("_size")), "mix-units")
@@ -187,5 +187,5 @@ def mixed(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: float =
     more = settled.filter("_p = 1").select(F.col("_key").alias("_more"))
     copies = F.when(F.col("_size") > 0, whole + F.when(F.col("_more").isNotNull(), 1).otherwise(0)).otherwise(0)
     return (rows.join(more, F.col("_key") == F.col("_more"), "left").join(aims, of_source)
-            .select(*(F.col(f"_c{i}").alias(c) for i, c in enumerate(kept)), F.col("_size").alias("size"), "source_size",
+            .select(*back, F.col("_size").alias("size"), "source_size",
                     "target", copies.cast("long").alias("copies"), (F.col("_size") * copies).cast("long").alias("taken")))

@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.llm.columns import aside
 from plumbline.llm.words import portions, text_bytes, word_hashes, word_spans
 
 REACH = 2
@@ -208,7 +209,7 @@ def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         return pa.StructArray.from_arrays([pa.array(n), pa.array(total)], ["n_tokens", "log_likelihood"])
 
     scorer = F.arrow_udf(score, "n_tokens long, log_likelihood double")
-    kept = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c not in added), scorer(F.lower(F.col(f"`{text}`"))).alias("_found"))
-    return kept.select(*(F.col(f"`{c}`") for c in kept.columns if c != "_found"), "_found.n_tokens", "_found.log_likelihood",
-                       F.when(F.col("_found.n_tokens") > 0, F.col("_found.log_likelihood") / F.col("_found.n_tokens"))
-                       .alias("mean_log_likelihood"))
+    away, back = aside(docs, *added)
+    return docs.select(*away, scorer(F.lower(F.col(f"`{text}`"))).alias("_found")).select(
+        *back, "_found.n_tokens", "_found.log_likelihood",
+        F.when(F.col("_found.n_tokens") > 0, F.col("_found.log_likelihood") / F.col("_found.n_tokens")).alias("mean_log_likelihood"))

@@ -20,8 +20,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.llm.columns import aside
 from plumbline.session import written
 
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "base_failed")
 SPACE = "[\\x20\\x09-\\x0D]+"
 
 
@@ -56,21 +58,20 @@ def repeated_words(tokens: Column, window: int = 3) -> Column:
 
 def measures(docs: DataFrame, text: str = "text") -> DataFrame:
     """Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines and base_failed."""
-    added = {"n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "base_failed"}
-    kept = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c not in added))
+    away, back = aside(docs, *MEASURES)
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     lines = F.filter(F.split(body, "\n"), lambda line: F.translate(line, " \t\n\x0b\f\r", "") != "")
-    found = kept.select(
-        "*", _let(words(F.col(f"`{text}`")), lambda w: F.struct(
+    found = docs.select(
+        *away, _let(words(F.col(f"`{text}`")), lambda w: F.struct(
             F.size(w).cast("long").alias("n"), repeated_words(w).cast("long").alias("r"))).alias("_words"),
         _let(lines, lambda x: F.struct(F.size(x).cast("long").alias("n"),
                                        (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("d"))).alias("_lines"),
         F.length(F.translate(body, " \t\n\x0b\f\r", "")).cast("long").alias("word_chars"),
         (F.length(body) - F.length(F.translate(body, "#*$%&|<>", ""))).cast("long").alias("n_symbols"))
-    return (found.withColumns({"n_words": F.col("_words.n"), "n_repeat_words": F.col("_words.r"),
-                               "n_dup_lines": F.col("_lines.d"), "n_lines": F.col("_lines.n")})
-            .withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
-            .drop("_words", "_lines"))
+    n, repeated = F.col("_words.n"), F.col("_words.r")
+    return found.select(*back, n.alias("n_words"), "word_chars", "n_symbols", F.col("_lines.d").alias("n_dup_lines"),
+                        repeated.alias("n_repeat_words"), F.col("_lines.n").alias("n_lines"),
+                        ((n < 50) | (100 * repeated > 50 * n)).alias("base_failed"))
 
 
 @dataclass(frozen=True)

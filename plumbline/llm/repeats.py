@@ -44,6 +44,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.llm.columns import aside
 from plumbline.llm.words import mix
 from plumbline.session import shared_folder, written
 
@@ -123,7 +124,7 @@ def repeated_windows(columns: np.ndarray, begin: np.ndarray, end: np.ndarray, gr
     base = group.astype(np.int64) * 257
     for c in range(int(end.max(initial=0)) - 1, -1, -1):
         present = (begin <= c) & (c < end)
-        symbol = base + np.where(present, columns[:, c], 256)
+        symbol = base + np.where(present, columns[:, c].astype(np.int64), 256)
         inserted = symbol[order]
         moved = np.argsort(inserted, kind="stable")  # new place to old place
         order, inserted = order[moved], inserted[moved]
@@ -296,6 +297,6 @@ def cut_texts(docs: DataFrame, width: int = 400, group_rows: int = 4096, text: s
 def of_rows(docs: DataFrame, per_text: DataFrame, text: str = "text") -> DataFrame:
     """The rows of ``docs`` with what ``per_text`` has for their text (its columns replace those of the same name)."""
     new = [c for c in per_text.columns if c != "text_key"]
-    keyed = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c not in new), text_key(text).alias("_key"))
+    away, back = aside(docs, *new)
     stored = written(per_text.withColumnRenamed("text_key", "_of"), "repeat-results")
-    return keyed.join(stored, F.col("_key") == F.col("_of")).drop("_key", "_of")
+    return docs.select(*away, text_key(text).alias("_key")).join(stored, F.col("_key") == F.col("_of")).select(*back, *new)

@@ -26,6 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from plumbline.llm.columns import aside
 from plumbline.session import written
 
 
@@ -142,10 +143,10 @@ def sharded(docs: DataFrame, n_shards: int = 24, pieces: int = 128, slot_rows: i
     ``slot_rows`` bounds how many rows of a shard are numbered by one task; the
     numbers of the parts of a shard are put one after another.
     """
-    kept = [c for c in docs.columns if c not in ("size", "text_crc32", "shard", "slot")]
+    away, back = aside(docs, "size", "text_crc32", "shard", "slot")
     body = F.col(f"`{text}`")
     rows = docs.select(
-        *(F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(kept)), F.col(f"`{doc_id}`").alias("_id"),
+        *away, F.col(f"`{doc_id}`").alias("_id"),
         (F.coalesce(F.octet_length(body), F.lit(0)) + 8).cast("long").alias("_size"),
         F.crc32(F.coalesce(body, F.lit(""))).alias("_crc"), F.coalesce(F.md5(body), F.lit("null")).alias("_group"))
     groups = written(rows.groupBy("_group").agg(F.sum("_size").alias("_bytes"), F.count("*").alias("_rows")), "shard-groups")
@@ -171,6 +172,6 @@ def sharded(docs: DataFrame, n_shards: int = 24, pieces: int = 128, slot_rows: i
     within = Window.partitionBy("_shard", "_part").orderBy("_id", "_crc", "_size")
     return (placed.withColumn("_k", F.row_number().over(within))
             .join(starts, (F.col("_shard") == F.col("_s2")) & (F.col("_part") == F.col("_p2")))
-            .select(*(F.col(f"_c{i}").alias(c) for i, c in enumerate(kept)), F.col("_size").alias("size"),
+            .select(*back, F.col("_size").alias("size"),
                     F.col("_crc").alias("text_crc32"), F.col("_shard").alias("shard"),
                     (F.col("_before") + F.col("_k") - 1).cast("long").alias("slot")))

@@ -32,6 +32,7 @@ import hashlib
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.llm.columns import aside
 from plumbline.session import written
 
 # Titles by gender, given names by gender and script.
@@ -171,10 +172,11 @@ def attempts(docs: DataFrame, key: str, text: str = "text") -> DataFrame | None:
 
 def replaced(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """The rows of ``docs`` with surrogates in the text, and ``n_entities``, the number of replaced places."""
+    away, _ = aside(docs, "n_entities")
     kept = [c for c in docs.columns if c != "n_entities"]
     body = F.col(f"`{text}`")
     late = attempts(docs, key, text)
-    rows = docs.select(*(F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(kept)), body.alias("_text"))
+    rows = docs.select(*away, body.alias("_text"))
     if late is None:
         tried = lambda kind, norm: F.lit(0)
     else:
