@@ -47,10 +47,10 @@ ROWS = _CONTEXT + len(_LAYERS) * WIDTH + 2
 
 
 def _views(table: np.ndarray) -> dict[str, np.ndarray]:
-    out = {"context": table[:_CONTEXT]}
+    out = {"context": table[:_CONTEXT].reshape(TOKENS + 1, -1)}
     for k, name in enumerate(_LAYERS):
         out[name] = table[_CONTEXT + k * WIDTH:_CONTEXT + (k + 1) * WIDTH]
-    out["hidden_bias"], out["class_bias"] = table[-2], table[-1]
+    out["hidden_bias"], out["class_bias"] = table[-2:-1], table[-1:]
     return out
 
 
@@ -77,71 +77,102 @@ def _count(batches):
     yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(total[used])], ["bucket", "n"])
 
 
-def neighbours(tokens: np.ndarray, row: np.ndarray) -> np.ndarray:
-    """tokens x places: rows of the context table; beyond the ends of a document stands a token of its own."""
-    out = np.empty((len(tokens), len(_PLACES)), np.int64)
-    for k, place in enumerate(_PLACES):
-        other = np.full(len(tokens), TOKENS, np.int64)
-        a, b = max(0, -place), len(tokens) - max(0, place)
-        if b > a:
-            same = row[a:b] == row[a + place:b + place]
-            other[a:b] = np.where(same, tokens[a + place:b + place], TOKENS)
-        out[:, k] = other + k * (TOKENS + 1)
-    return out
-
-
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
-
-
-def forward(w: dict[str, np.ndarray], near: np.ndarray, tokens: np.ndarray):
-    """(log probability of each token, and what the gradient needs)."""
-    hidden = w["hidden_bias"] + w["context"][near[:, 0]]
-    for k in range(1, near.shape[1]):
-        hidden += w["context"][near[:, k]]
+def padded(tokens: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The tokens with REACH blanks around every document, and where each token now stands.
+
+    So neighbours are shifts of one sequence, and none reaches into another document.
+    """
+    new = np.concatenate([[0], np.cumsum(row[1:] != row[:-1])]) if len(row) else row
+    at = np.arange(len(tokens)) + REACH * (new + 1)
+    out = np.full(len(tokens) + REACH * (int(new[-1]) + 2 if len(row) else 1), TOKENS, np.int16)
+    out[at] = tokens
+    return out, at
+
+
+def _softmax(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(probabilities, log of the sum of exponentials) of each row."""
+    top = x.max()
+    e = np.exp(x - top)
+    total = e @ np.ones(x.shape[1], x.dtype)
+    if total.min() < 1e-30:  # a row far below the largest one
+        top = x.max(axis=1, keepdims=True)
+        e = np.exp(x - top)
+        total = e @ np.ones(x.shape[1], x.dtype)
+        return e / total[:, None], np.log(total) + top[:, 0]
+    return e / total[:, None], np.log(total) + top
+
+
+def forward(w: dict[str, np.ndarray], sequence: np.ndarray, lo: int, hi: int):
+    """(log probability of each token from lo to hi, and what the gradient needs)."""
+    n = hi - lo
+    around = w["context"][sequence[lo - REACH:hi + REACH]]
+    hidden = w["hidden_bias"] + around[:n, :WIDTH]
+    for k, place in enumerate(_PLACES[1:], 1):
+        hidden += around[REACH + place:REACH + place + n, k * WIDTH:(k + 1) * WIDTH]
     hidden = np.tanh(hidden)
-    kind, place, at = tokens // WIDTH, tokens % WIDTH, np.arange(len(tokens))
-    classes = _log_softmax(hidden @ w["class_out"] + w["class_bias"])
+    tokens = sequence[lo:hi].astype(np.int64) % TOKENS  # a blank's own probability is never used
+    kind, inner, at = tokens // WIDTH, tokens % WIDTH, np.arange(n)
+    classes = hidden @ w["class_out"] + w["class_bias"]
     second = np.tanh(hidden + w["class_in"][kind])
-    places = _log_softmax(second @ w["word_out"] + w["word_bias"][kind])
-    return classes[at, kind] + places[at, place], (hidden, second, classes, places, kind, place, at)
+    words = second @ w["word_out"] + w["word_bias"][kind]
+    (p_class, s_class), (p_word, s_word) = _softmax(classes), _softmax(words)
+    return classes[at, kind] - s_class + words[at, inner] - s_word, (hidden, second, p_class, p_word, kind, inner, at)
 
 
-def _scatter(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(rows, kind="stable")
-    sorted_ = rows[order]
-    first = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]))
-    return sorted_[first], np.add.reduceat(values[order], first, axis=0)
+def log_probabilities(w: dict[str, np.ndarray], tokens: np.ndarray, row: np.ndarray, batch: int = 8192) -> np.ndarray:
+    sequence, at = padded(tokens, row)
+    out = np.zeros(len(sequence))
+    for lo in range(REACH, len(sequence) - REACH, batch):
+        hi = min(lo + batch, len(sequence) - REACH)
+        out[lo:hi] = forward(w, sequence, lo, hi)[0]
+    return out[at]
 
 
-def train_pass(table: np.ndarray, tokens: np.ndarray, near: np.ndarray, squares: np.ndarray, rate: float = 0.1, batch: int = 1024) -> None:
-    """One pass over the tokens in mini-batches, with a step size for each row of the table (AdaGrad); changes table and squares."""
+def train_pass(table: np.ndarray, sequence: np.ndarray, squares: np.ndarray, rate: float = 0.1, batch: int = 2048) -> None:
+    """One pass over a padded sequence in mini-batches, with a step size for each weight row (AdaGrad); changes table and squares."""
     w = _views(table)
-
-    def step(first: int, rows, gradient: np.ndarray) -> None:
-        squares[first + rows] += (gradient * gradient).mean(axis=-1)
-        table[first + rows] -= rate * gradient / np.sqrt(squares[first + rows])[..., None]
-
-    for lo in range(0, len(tokens), batch):
-        t, around = tokens[lo:lo + batch], near[lo:lo + batch]
-        _, (hidden, second, classes, places, kind, place, at) = forward(w, around, t)
-        d_class, d_place = np.exp(classes), np.exp(places)
+    seen = _views(squares)
+
+    def step(name: str, rows, gradient: np.ndarray) -> None:
+        total = seen[name][rows] + np.einsum("ij,ij->i", gradient, gradient)[:, None] / gradient.shape[1]
+        seen[name][rows] = total
+        w[name][rows] -= rate * gradient / np.sqrt(total)
+
+    for lo in range(REACH, len(sequence) - REACH, batch):
+        hi = min(lo + batch, len(sequence) - REACH)
+        _, (hidden, second, d_class, d_word, kind, inner, at) = forward(w, sequence, lo, hi)
+        blank = np.flatnonzero(sequence[lo:hi] == TOKENS)
+        share = table.dtype.type(1 / max(1, hi - lo - len(blank)))
         d_class[at, kind] -= 1
-        d_place[at, place] -= 1
-        d_class /= len(t)
-        d_place /= len(t)
-        d_second = (d_place @ w["word_out"].T) * (1 - second * second)
-        d_hidden = (d_class @ w["class_out"].T + d_second) * (1 - hidden * hidden)
-        all_ = np.arange(WIDTH)
-        starts = {name: _CONTEXT + k * WIDTH for k, name in enumerate(_LAYERS)}
-        step(starts["class_out"], all_, hidden.T @ d_class)
-        step(starts["word_out"], all_, second.T @ d_place)
-        step(starts["class_in"], *_scatter(kind, d_second))
-        step(starts["word_bias"], *_scatter(kind, d_place))
-        step(ROWS - 2, np.zeros(1, int), d_hidden.sum(0)[None])
-        step(ROWS - 1, np.zeros(1, int), d_class.sum(0)[None])
-        step(0, *_scatter(around.T.ravel(), np.tile(d_hidden, (around.shape[1], 1))))
+        d_word[at, inner] -= 1
+        d_class[blank] = d_word[blank] = 0
+        second_loss = d_word @ w["word_out"].T
+        of_word = second.T @ d_word
+        np.multiply(second, second, out=second)
+        second_loss -= second_loss * second
+        d_hidden = d_class @ w["class_out"].T
+        d_hidden += second_loss
+        of_hidden = hidden.T @ d_class
+        np.multiply(hidden, hidden, out=hidden)
+        d_hidden -= d_hidden * hidden
+        of_class = np.zeros((WIDTH, hi - lo), table.dtype)
+        of_class[kind, at] = share
+        of_class = of_class @ np.concatenate([second_loss, d_word], axis=1)
+        # Each token's share in what its neighbours have lost, place by place; equal tokens are summed up.
+        back = np.zeros((hi - lo + 2 * REACH, len(_PLACES) * WIDTH), table.dtype)
+        for k, place in enumerate(_PLACES):
+            back[REACH + place:REACH + place + hi - lo, k * WIDTH:(k + 1) * WIDTH] = d_hidden
+        near = sequence[lo - REACH:hi + REACH]
+        order = np.argsort(near, kind="stable")
+        ranked = near[order]
+        first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
+        step("class_out", slice(None), of_hidden * share)
+        step("word_out", slice(None), of_word * share)
+        step("class_in", slice(None), of_class[:, :WIDTH])
+        step("word_bias", slice(None), of_class[:, WIDTH:])
+        step("hidden_bias", slice(None), d_hidden.sum(0)[None] * share)
+        step("class_bias", slice(None), d_class.sum(0)[None] * share)
+        step("context", ranked[first], np.add.reduceat(back[order], first, axis=0) * share)
 
 
 def _start(counts: np.ndarray, seed: int) -> np.ndarray:
@@ -172,11 +203,11 @@ def trained(docs: DataFrame, text: str = "text", rounds: int = 2, share: float =
 
     for _ in range(rounds if len(counted) else 0):
         def train(batches, start=table):
-            own, squares, seen = start.astype(np.float32), np.full(ROWS, 1e-6, np.float32), 0
+            own, squares, seen = start.astype(np.float32), np.full((ROWS, WIDTH), 1e-6, np.float32), 0
             for batch in batches:
                 for _, _, words, row in _words(batch.column(0)):
                     tokens = token_of[(words % np.uint64(BUCKETS)).astype(np.int64)]
-                    train_pass(own, tokens, neighbours(tokens, row), squares)
+                    train_pass(own, padded(tokens, row)[0], squares)
                     seen += len(tokens)
             if seen:
                 yield pa.RecordBatch.from_arrays(
@@ -201,11 +232,8 @@ def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         n, total = np.zeros(len(column), np.int64), np.zeros(len(column))
         for lo, hi, words, row in _words(column):
             tokens = token_of[(words % np.uint64(BUCKETS)).astype(np.int64)]
-            near = neighbours(tokens, row)
-            logp = np.concatenate([forward(w, near[k:k + 16_384], tokens[k:k + 16_384])[0] for k in range(0, len(tokens), 16_384)]
-                                  or [np.zeros(0)])
             n[lo:hi] = np.bincount(row, minlength=hi - lo)
-            total[lo:hi] = np.bincount(row, weights=logp, minlength=hi - lo)
+            total[lo:hi] = np.bincount(row, weights=log_probabilities(w, tokens, row), minlength=hi - lo)
         return pa.StructArray.from_arrays([pa.array(n), pa.array(total)], ["n_tokens", "log_likelihood"])
 
     scorer = F.arrow_udf(score, "n_tokens long, log_likelihood double")
