@@ -267,7 +267,8 @@ def cut_texts(docs: DataFrame, width: int = 400, group_rows: int = 4096, text: s
     texts = stored_texts(docs, text)
     found = written(texts.filter(F.octet_length("body") >= width).select("text_key", "body", "copies")
                     .mapInArrow(_members(width), MEMBERS), "repeat-members")
-    shared = found.groupBy("seed").agg(F.sum("copies").alias("n")).filter("n > 1").select("seed")
+    # Stored, so that both sides of the join are plain exchanges and a seed with very many members is split.
+    shared = written(found.groupBy("seed").agg(F.sum("copies").alias("n")).filter("n > 1").select("seed"), "repeat-seeds")
     found = written(found.join(shared, "seed"), "repeat-shared")
     # Equal members: counted, with one of them to stand for all.
     kinds = found.groupBy("seed", "body").agg(
@@ -276,7 +277,7 @@ def cut_texts(docs: DataFrame, width: int = 400, group_rows: int = 4096, text: s
     whole = found.join(kinds.filter("copies > 1").select("seed", "body"), ["seed", "body"]) \
         .select("text_key", F.col("lo").alias("start"), (F.col("lo") + F.col("windows") + (width - 1)).alias("stop"))
     # Different members with one seed: their bytes, side by side.
-    groups = kinds.groupBy("seed").agg(F.count("*").alias("n")).filter("n > 1")
+    groups = written(kinds.groupBy("seed").agg(F.count("*").alias("n")).filter("n > 1"), "repeat-groups")
     wanted = kinds.join(groups, "seed").select(
         F.col("one.text_key").alias("text_key"),
         F.struct("seed", F.col("one.lo").alias("lo"), (F.col("one.lo") + F.col("one.windows") + (width - 1)).alias("stop"),
