@@ -7,14 +7,15 @@ from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from plumbline.functions import metrics as m
+from plumbline.functions import text
 from plumbline.operators import cooldown, references, updates
 from plumbline.plans import alerts, enrich, root_cause, semantic, validate
 from plumbline.plans import shop_monitors as monitors
 from plumbline.session import shared_folder, written
 from plumbline.sources import shop
-from plumbline.sources.generator import generate_orders
 from plumbline.sources.shop import AS_OF, given, raw
 from plumbline.streaming.monitor_stream import AlertStream, MonitorStream
 from plumbline.streaming.validated_stream import ValidatedTable
@@ -72,12 +73,6 @@ def update_null_tracking(spark, d):
     return updates.lose_tracking_numbers(loaded).select("shipment_id", "status", "tracking_number")
 
 
-@named("generate_orders")
-def generate_orders_like_given(spark, d):
-    n, customers = given(spark, d, "orders").count(), given(spark, d, "customer").count()
-    return generate_orders(spark, n, customers)
-
-
 @query
 def sample_rows(spark, d):
     return updates.sample_rows(given(spark, d, "orders").select("o_orderkey", "o_totalprice"),
@@ -176,6 +171,24 @@ def dq_expectations(spark, d):
     return monitors.orders_monitor().evaluate(orders(spark, d), AS_OF)
 
 
+@query
+def dq_all_tables(spark, d):
+    """The verdicts on all five raw tables in one report."""
+    report = None
+    for name, monitor in monitors.all_monitors().items():
+        one = monitor.evaluate(raw(spark, d, name), AS_OF)
+        report = one if report is None else report.unionByName(one)
+    return report
+
+
+@query
+def dq_model_metric(spark, d):
+    """A metric whose predicate is a batch model; this one doubts every address without a house number."""
+    doubtful = text.batch_model(lambda address: ~address.str.match(r"[0-9]+ ", na=True), "boolean")
+    return m.counting("DOUBTFUL_ADDRESS_COUNT", ["string"], doubtful).on(
+        orders(spark, d), "shipping_address", alias="dq_model_metric")
+
+
 def _month(column: str):
     return F.trunc(column, "month")
 
@@ -350,10 +363,13 @@ def root_cause_region(spark, d):
 @query
 def root_cause_flags(spark, d):
     return root_cause.flags(model(spark, d), "region", {
-        "rejection_rate": ("rejected_count", "total_orders", True),
-        "null_customer_rate": ("null_customer_count", "total_orders", True),
-        "negative_total_rate": ("negative_total_count", "total_orders", True),
-        "clean_order_rate": ("clean_order_count", "total_orders", False)})
+        "rejection_rate": ("n_rejected", "n_orders", True),
+        "null_customer_rate": ("n_null_customer", "n_orders", True),
+        "negative_total_rate": ("n_negative", "n_orders", True),
+        "clean_order_rate": ("n_clean", "n_orders", False),
+        "avg_quality_score": ("sum_score", "n_scored", False)},
+        causes={"null_customer": "n_null_customer", "negative_total": "n_negative",
+                **{r.name: f"n_{r.name}" for r in validate.SOFT_RULES}})
 
 
 @query
@@ -368,11 +384,20 @@ def west_vs_rest(spark, d):
         ["clean_order_rate", "rejection_rate", "avg_quality_score", "null_customer_rate"])
 
 
+@query
+def tier_vs_rest(spark, d):
+    return root_cause.one_against_rest(
+        model(spark, d), "tier", "GOLD",
+        ["total_orders", "clean_order_rate", "rejection_rate", "avg_quality_score"])
+
+
 # -- streams: the table or log after everything that is there has been read --------------------
 
-def _stream(spark, d, name):
+def _stream(spark, d, name, per_trigger=1):
+    """The table as a stream.  The pattern stands for the one file or the folder
+    of files; a stream does not take the plain path of a single file."""
     return (spark.readStream.schema(given(spark, d, name).schema)
-            .option("pathGlobFilter", f"{name}.parquet").option("maxFilesPerTrigger", 1).parquet(d))
+            .option("maxFilesPerTrigger", per_trigger).parquet(f"{d}/{name}.parque[t]"))
 
 
 def _drain(writer) -> None:
@@ -386,11 +411,24 @@ def stream_validated(spark, d):
     return table.read()
 
 
+@query
+def refresh_history(spark, d):
+    """The attempts at building the table from one region and then refreshing it with everything."""
+    table = ValidatedTable(spark, shared_folder(spark, "validated"))
+    table.initialize(orders(spark, d).filter("region = 'WEST'"))
+    everything = _stream(spark, d, "orders", per_trigger=1_000_000)
+    _drain(table.follow(shop.orders_from(everything)))
+    order = F.row_number().over(Window.orderBy("refresh_start_time")).cast("bigint")
+    return table.refresh_history().select(order.alias("position"), "name", "state", "attempt")
+
+
 @query
 def stream_metrics(spark, d):
+    """The values recorded after the last file."""
     stream = MonitorStream(spark, monitors.orders_monitor(), shared_folder(spark, "monitor"), lambda batch: AS_OF)
     _drain(stream.follow(shop.orders_from(_stream(spark, d, "orders"))))
-    return stream.results.read().drop("batch_id")
+    newest = stream.results.read().agg(F.max("batch_id")).first()[0]
+    return stream.results.batch(newest or 0)
 
 
 @query

@@ -6,14 +6,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # ---- fixed values -----------------------------------------------------------
-ADDRESS = r"^([0-9]+ [A-Za-z ]+), ([A-Za-z .]+) ([A-Z]{2}) ([0-9]{5})$"
-# The fields of an extracted address, each with what it should hold.
-ADDRESS_FIELDS = {
-    "street": "number and street",
-    "city": "city name",
-    "state": "US state abbreviation",
-    "zip_code": "5-digit zip code",
-}
+# Number and street (with a unit, if any), city, state, ZIP or ZIP+4.
+ADDRESS_BODY = (r"([0-9]+ [A-Za-z0-9][A-Za-z0-9 .#-]*(?:, (?:Apt|Unit|Suite|Ste)[.]? [A-Za-z0-9-]+)?), ([A-Za-z][A-Za-z .]*) ([A-Z]{2}) "
+                r"([0-9]{5}(?:-[0-9]{4})?)")
+ADDRESS = f"^{ADDRESS_BODY}$"
+# The fields of an extracted address.
+ADDRESS_FIELDS = ("street", "city", "state", "zip_code")
 STATES = (
     "AL AK AZ AR CA CO CT DE DC FL GA HI ID IL IN IA KS KY LA ME MD MA MI MN MS "
     "MO MT NE NV NH NJ NM NY NC ND OH OK OR PA RI SC SD TN TX UT VT VA WA WV WI WY"

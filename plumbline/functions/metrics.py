@@ -32,12 +32,19 @@ class Part:
 @dataclass(frozen=True)
 class Metric:
     """``types`` is the declared signature, one SQL type (or ``any``) per bound
-    column; a metric that takes any number of columns ends it with ``...``."""
+    column; a metric that takes any number of columns ends it with ``...``.
+    ``parameters`` tell apart metrics of one name, such as two patterns."""
 
     name: str
     types: tuple[str, ...]
     parts: Callable[..., Sequence[Part]]
     finish: Callable[[Sequence[Column], Column], Column] = lambda parts, as_of: parts[0]
+    parameters: tuple = ()
+
+    @property
+    def label(self) -> str:
+        """The name in logs, with the parameters if there are any."""
+        return f"{self.name}({', '.join(map(str, self.parameters))})" if self.parameters else self.name
 
     def bind(self, columns: Sequence[str]) -> Sequence[Part]:
         variadic = self.types[-1:] == ("...",)
@@ -62,19 +69,19 @@ def moment(at: datetime | None) -> Column:
     return F.lit(None if at is None else at.isoformat(" ")).cast("timestamp_ntz")
 
 
-def counting(name: str, types: Sequence[str], predicate: Callable[..., Column]) -> Metric:
+def counting(name: str, types: Sequence[str], predicate: Callable[..., Column], *parameters) -> Metric:
     """A user-defined metric that counts the rows where a predicate is true.
     Rows for which it is unknown are not counted."""
     return Metric(name, tuple(types),
-                  lambda *cols: [Part("sum", F.count_if(predicate(*[F.col(c) for c in cols])))])
+                  lambda *cols: [Part("sum", F.count_if(predicate(*[F.col(c) for c in cols])))], parameters=parameters)
 
 
-def rate(name: str, types: Sequence[str], predicate: Callable[..., Column]) -> Metric:
+def rate(name: str, types: Sequence[str], predicate: Callable[..., Column], *parameters) -> Metric:
     """Percentage of all rows where the predicate is true; NULL without rows."""
     return Metric(
         name, tuple(types),
         lambda *cols: [Part("sum", F.count_if(predicate(*[F.col(c) for c in cols]))), Part("sum", F.count("*"))],
-        lambda p, as_of: p[0].cast("double") * 100 / F.nullif(p[1].cast("double"), F.lit(0.0)))
+        lambda p, as_of: p[0].cast("double") * 100 / F.nullif(p[1].cast("double"), F.lit(0.0)), parameters)
 
 
 def _all_present(columns: Sequence[str]) -> Column:
@@ -106,52 +113,58 @@ FILL_RATE = rate("FILL_RATE", ["any"], lambda c: c.isNotNull())
 
 
 def not_matching(pattern: str) -> Metric:
-    return counting("NOT_MATCHING_COUNT", ["string"], lambda c: ~c.rlike(pattern))
+    return counting("NOT_MATCHING_COUNT", ["string"], lambda c: ~c.rlike(pattern), pattern)
 
 
 def not_accepted(values: Sequence[str]) -> Metric:
-    return counting("NOT_ACCEPTED_COUNT", ["string"], lambda c: ~c.isin(*values))
+    return counting("NOT_ACCEPTED_COUNT", ["string"], lambda c: ~c.isin(*values), *values)
 
 
 def outlier(floor: float, ceiling: float) -> Metric:
     """At or below ``floor``, or at or above ``ceiling``."""
-    return counting("OUTLIER_COUNT", ["double"], lambda c: (c <= floor) | (c >= ceiling))
+    return counting("OUTLIER_COUNT", ["double"], lambda c: (c <= floor) | (c >= ceiling), floor, ceiling)
 
 
 def below(bound: float) -> Metric:
-    return counting("BELOW_COUNT", ["any"], lambda c: c < bound)
+    return counting("BELOW_COUNT", ["any"], lambda c: c < bound, bound)
 
 
 def null_where(value: str) -> Metric:
     """Rows whose first column equals ``value`` and whose second is NULL."""
-    return counting("NULL_WHERE_COUNT", ["string", "any"], lambda s, c: (s == value) & c.isNull())
+    return counting("NULL_WHERE_COUNT", ["string", "any"], lambda s, c: (s == value) & c.isNull(), value)
 
 
 def later_than(day: date) -> Metric:
-    return counting("LATER_THAN_COUNT", ["date"], lambda c: c > F.lit(day))
+    return counting("LATER_THAN_COUNT", ["date"], lambda c: c > F.lit(day), day)
 
 
 def product_mismatch(tolerance: float) -> Metric:
     """Totals that differ from quantity × price by more than ``tolerance``."""
     return counting("PRODUCT_MISMATCH_COUNT", ["double", "int", "double"],
-                    lambda total, q, p: F.abs(total - q * p) > tolerance)
+                    lambda total, q, p: F.abs(total - q * p) > tolerance, tolerance)
 
 
 class Registry:
-    """Known metrics by name and signature."""
+    """Known metrics by name, parameters and signature."""
 
     def __init__(self, *metrics: Metric):
-        self._metrics = {(m.name, m.types): m for m in metrics}
+        self._metrics = {self._key(m): m for m in metrics}
+
+    @staticmethod
+    def _key(metric: Metric) -> tuple:
+        return metric.name, metric.types, metric.parameters
 
-    def create(self, metric: Metric) -> Metric:
-        self._metrics[metric.name, metric.types] = metric
+    def create(self, metric: Metric, replace: bool = False) -> Metric:
+        if not replace and self._key(metric) in self._metrics:
+            raise ValueError(f"{metric.label}{metric.types} exists")
+        self._metrics[self._key(metric)] = metric
         return metric
 
-    def get(self, name: str, *types: str) -> Metric:
-        return self._metrics[name, types]
+    def get(self, name: str, *types: str, parameters: tuple = ()) -> Metric:
+        return self._metrics[name, types, parameters]
 
-    def remove(self, name: str, *types: str) -> None:
-        del self._metrics[name, types]
+    def remove(self, name: str, *types: str, parameters: tuple = ()) -> None:
+        del self._metrics[name, types, parameters]
 
     def __iter__(self):
         return iter(self._metrics.values())

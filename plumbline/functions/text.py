@@ -9,12 +9,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # ---- fixed values -----------------------------------------------------------
-# Kinds of personal data, masked in this order.
+# Kinds of personal data, masked in this order.  An address in free text has
+# short streets and cities, so that it does not reach back over whole sentences.
 PERSONAL_DATA = {
+    "ADDRESS": r"[0-9]{1,6} [A-Za-z0-9.#-]+( [A-Za-z0-9.#-]+){0,4}(, (Apt|Unit|Suite|Ste)[.]? [A-Za-z0-9-]+)?, "
+               r"[A-Za-z.]+( [A-Za-z.]+){0,2} [A-Z]{2} [0-9]{5}(-[0-9]{4})?",
     "EMAIL": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+([.][A-Za-z0-9-]+)+",
-    "IP": r"[0-9]{1,3}([.][0-9]{1,3}){3}",
-    "CARD": r"[0-9]{4}([ -]?[0-9]{4}){3}",
-    "PHONE": r"([+]?1[-. ])?[(]?[0-9]{3}[)]?[-. ][0-9]{3}[-. ][0-9]{4}",
+    "IP": r"(?<![0-9.])[0-9]{1,3}([.][0-9]{1,3}){3}(?![0-9])(?![.][0-9])",
+    "CARD": r"(?<![0-9])[0-9]{4}([ -]?[0-9]{4}){3}(?![0-9])",
+    "PHONE": r"(?<![0-9])([+]?1[-. ])?[(]?[0-9]{3}[)]?[-. ][0-9]{3}[-. ][0-9]{4}(?![0-9])",
 }
 PAGE_FIELDS = {
     "lang": ("html", r'<html lang="([a-z]+)"'),

@@ -9,12 +9,22 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from plumbline.functions.address import ADDRESS, STATES
+from plumbline.functions.address import STATES
 from plumbline.functions.draws import draw_sql, identifier_sql
-from plumbline.functions.text import PAGE_FIELDS, PERSONAL_DATA
+from plumbline.functions.text import PAGE_FIELDS
 from plumbline.plans.shop_monitors import EMAIL
 from plumbline.sources import shop
 
+# Patterns of this module's own; the other engine knows no lookarounds.
+ADDRESS = "^([0-9]+ [A-Za-z ]+), ([A-Za-z .]+) ([A-Z]{2}) ([0-9]{5})$"
+PERSONAL_DATA = {
+    "ADDRESS": "[0-9]{1,6}( [A-Za-z0-9.#-]+){1,5}(, (Apt|Unit|Suite|Ste)[.]? [A-Za-z0-9-]+)?, [A-Za-z.]+( [A-Za-z.]+){0,2} [A-Z]{2} [0-9]{5}(-[0-9]{4})?",
+    "EMAIL": "[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+([.][A-Za-z0-9-]+)+",
+    "IP": "[0-9]{1,3}[.][0-9]{1,3}[.][0-9]{1,3}[.][0-9]{1,3}",
+    "CARD": "[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}",
+    "PHONE": "([+]?1[-. ])?[(]?[0-9]{3}[)]?[-. ][0-9]{3}[-. ][0-9]{4}",
+}
+
 AS_OF = f"timestamp '{shop.AS_OF}'"
 DAY = f"date '{shop.LAST_DAY}'"
 
@@ -205,12 +215,41 @@ def _history() -> str:
             f"history as ({rows})")
 
 
-def _judged(results: str) -> str:
+def _judged(results: str, table: str = "orders", expectations=_EXPECTATIONS, name: str = "statuses") -> str:
     rows = " union all ".join(
         f"select table_database, table_schema, table_name, metric_name, columns, '{n}' as expectation_name, "
         f"'{e}' as expression, value, ({e}) is not null as evaluated, coalesce(not ({e}), false) as violated, "
-        f"measurement_time from {results} where metric_name = '{m}'" for m, n, e in _EXPECTATIONS)
-    return f"statuses as ({rows})"
+        f"measurement_time from {results} where metric_name = '{m}' and table_name = '{table}'" for m, n, e in expectations)
+    return f"{name} as ({rows})"
+
+
+# table: metrics as above, then expectations
+_OTHER_TABLES = {
+    "customers": (((f"NOT_MATCHING_COUNT({EMAIL})", "email", f"count_if(not regexp_matches(email, '{EMAIL}'))"),
+                   ("DUPLICATE_COUNT", "customer_id", "count(customer_id) - count(distinct customer_id)")),
+                  ((f"NOT_MATCHING_COUNT({EMAIL})", "emails_well_formed", "value = 0"),
+                   ("DUPLICATE_COUNT", "no_duplicates", "value = 0"))),
+    "products": (((f"NOT_ACCEPTED_COUNT({', '.join(shop.CATEGORIES)})", "category",
+                   f"count_if(category not in ({_listed(shop.CATEGORIES)}))"),
+                  ("OUTLIER_COUNT(0.0, 99999.0)", "unit_price", "count_if(unit_price <= 0 or unit_price >= 99999)")),
+                 ((f"NOT_ACCEPTED_COUNT({', '.join(shop.CATEGORIES)})", "known_categories", "value = 0"),
+                  ("OUTLIER_COUNT(0.0, 99999.0)", "plausible_prices", "value = 0"))),
+    "inventory": ((("BELOW_COUNT(0)", "quantity_on_hand", "count_if(quantity_on_hand < 0)"),),
+                  (("BELOW_COUNT(0)", "no_negative_stock", "value = 0"),)),
+    "shipments": ((("NULL_WHERE_COUNT(DELIVERED)", "status,tracking_number",
+                    "count_if(status = 'DELIVERED' and tracking_number is null)"),
+                   (f"LATER_THAN_COUNT({shop.LAST_DAY})", "ship_date", f"count_if(ship_date > {DAY})")),
+                  (("NULL_WHERE_COUNT(DELIVERED)", "delivered_are_tracked", "value = 0"),
+                   (f"LATER_THAN_COUNT({shop.LAST_DAY})", "nothing_from_the_future", "value = 0"))),
+}
+
+
+def _all_tables() -> str:
+    parts = [_ORDERS, _CUSTOMERS, _PRODUCTS, _INVENTORY, _SHIPMENTS,
+             f"m_orders as ({_measured('raw_orders', 'orders', _ORDER_METRICS, AS_OF)})", _judged("m_orders", name="s_orders")]
+    for t, (metrics, expectations) in _OTHER_TABLES.items():
+        parts += [f"m_{t} as ({_measured(f'raw_{t}', t, metrics, AS_OF)})", _judged(f"m_{t}", t, expectations, f"s_{t}")]
+    return _with(parts, " union all ".join(f"select * from s_{t}" for t in ("orders", *_OTHER_TABLES)))
 
 
 def _one(column: str, table: str, expression: str, *prefix: str) -> str:
@@ -245,25 +284,35 @@ def _semantic(*dims: str, metrics: Sequence[str] = tuple(_METRICS), where: str =
 
 def _flags() -> str:
     rates = {
-        "rejection_rate": ("count_if(quality_status = 'REJECTED')", ">", 1.1),
-        "null_customer_rate": ("count_if(customer_id is null)", ">", 1.1),
-        "negative_total_rate": ("count_if(order_total < 0)", ">", 1.1),
-        "clean_order_rate": ("count_if(quality_status = 'CLEAN')", "<", 0.9),
+        "rejection_rate": ("count_if(quality_status = 'REJECTED')", "count(*)", ">", 1.1),
+        "null_customer_rate": ("count_if(customer_id is null)", "count(*)", ">", 1.1),
+        "negative_total_rate": ("count_if(order_total < 0)", "count(*)", ">", 1.1),
+        "clean_order_rate": ("count_if(quality_status = 'CLEAN')", "count(*)", "<", 0.9),
+        "avg_quality_score": ("sum(quality_score)", "count(quality_score)", "<", 0.9),
     }
+    # Each rule's share of a group's rows less its share of all rows; the largest one is the cause.
+    broken = ", ".join(f"count_if(is_{i}) as n_{i}" for i in _ISSUES)
+    excess = " union all ".join(
+        f"select g.region, '{i}' as rule, cast(g.n_{i} as double) / g.n - cast(o.n_{i} as double) / o.n as x "
+        "from by_region g, by_all o" for i in _ISSUES)
     rows = " union all ".join(
-        f"select region, '{name}' as metric_name, g.value, o.overall, g.value {sign} o.overall * {bound} as flagged "
-        f"from (select region, cast({part} as double) / count(*) as value from validated group by region) g, "
-        f"(select cast({part} as double) / count(*) as overall from validated) o"
-        for name, (part, sign, bound) in rates.items())
-    return _on_validated(rows)
-
-
-def _sides() -> str:
-    chosen = ("clean_order_rate", "rejection_rate", "avg_quality_score", "null_customer_rate")
+        f"select g.region, '{name}' as metric_name, g.value, o.overall, g.value {sign} o.overall * {bound} as flagged, "
+        f"case when g.value {sign} o.overall * {bound} and c.x > 0 then c.rule end as cause "
+        f"from (select region, cast({part} as double) / {whole} as value from validated group by region) g "
+        f"join worst c on c.region = g.region, "
+        f"(select cast({part} as double) / {whole} as overall from validated) o"
+        for name, (part, whole, sign, bound) in rates.items())
+    return _with([_ORDERS, _CUSTOMERS, _VALIDATED, f"by_region as (select region, count(*) as n, {broken} from judged group by region)",
+                  f"by_all as (select count(*) as n, {broken} from judged)", f"excess as ({excess})",
+                  "worst as (select region, rule, x from (select *, row_number() over (partition by region "
+                  "order by x desc, rule desc) as rn from excess) where rn = 1)"], rows)
+
+
+def _sides(table: str, inside: str, chosen: Sequence[str]) -> str:
     rows = " union all ".join(
         f"select '{m}' as metric_name, w.v as group_value, r.v as rest_value, w.v - r.v as difference from "
-        f"(select {_METRICS[m]} as v from validated where region = 'WEST') w, "
-        f"(select {_METRICS[m]} as v from validated where region <> 'WEST') r" for m in chosen)
+        f"(select cast({_METRICS[m]} as double) as v from {table} where {inside}) w, "
+        f"(select cast({_METRICS[m]} as double) as v from {table} where coalesce(not ({inside}), true)) r" for m in chosen)
     return _on_validated(rows)
 
 
@@ -292,15 +341,11 @@ sent as (select event_type, min(ts) as ts from violations group by event_type
     on v.event_type = s.event_type and v.ts >= s.ts + interval 1 hour group by s.event_type, s.ts)
 select event_type, ts from sent"""
 _PAYLOAD = """concat('{"table":"', table_name, '","metric":"', metric_name, '","columns":"', columns, '","value":',
-  cast(cast(value as bigint) as varchar), ',"expectation":"', expectation_name, '","measurement_time":"',
+  cast(value as varchar), ',"expectation":"', expectation_name, '","measurement_time":"',
   strftime(measurement_time, '%Y-%m-%d %H:%M:%S'), '"}')"""
 
 
 def oracle_sql() -> dict[str, str]:
-    generated_copies, generated = _orders(
-        f"select k, {draw_sql('k', 61, '(select count(*) from customer)')} + 1 as custkey, "
-        f"{DAY} - cast({draw_sql('k', 62, 366)} as int) as day "
-        "from (select unnest(range(1, (select count(*) from orders) + 1)) as k)")
     measured = f"measured as ({_measured('raw_orders', 'orders', _ORDER_METRICS, AS_OF)})"
     queries = {
         "scan_orders": _on_orders("select * from raw_orders"),
@@ -312,7 +357,6 @@ def oracle_sql() -> dict[str, str]:
             f"select 'raw.{t}' as table_name, count(*) as row_count from raw_{t}"
             for t in ("orders", "customers", "products", "inventory", "shipments")) + " order by table_name"),
         "update_null_tracking": _with([_SHIPMENTS], "select shipment_id, status, tracking_number from raw_shipments"),
-        "generate_orders": f"with made as ({generated}) {generated_copies}",
         "sample_rows": ("select o_orderkey, o_totalprice from orders "
                         f"order by {draw_sql('o_orderkey', 63, 1000000007)}, o_orderkey limit 150"),
         "inject_duplicates": (
@@ -368,6 +412,9 @@ def oracle_sql() -> dict[str, str]:
         "dq_orders_all": _on_orders(_measured("raw_orders", "orders", _ORDER_METRICS, AS_OF)),
         "dq_lineitem_all": _measured("lineitem", "lineitem", _LINE_METRICS, AS_OF),
         "dq_expectations": _with([_ORDERS, measured, _judged("measured")], "select * from statuses"),
+        "dq_all_tables": _all_tables(),
+        "dq_model_metric": _on_orders("select count(*) as dq_model_metric from raw_orders where shipping_address is not null "
+                                      "and not regexp_matches(shipping_address, '^[0-9]+ ')"),
         "metric_history": _with([_ORDERS, _history()], "select * from history"),
         "metric_results_latest": _with([_ORDERS, _history()], (
             "select metric_name, columns, value, measurement_time from history "
@@ -443,7 +490,12 @@ def oracle_sql() -> dict[str, str]:
         "issues_by_region": _on_validated(" union all ".join(
             f"select region, '{i}' as issue, count_if(is_{i})::bigint as orders from judged group by region"
             for i in _ISSUES)),
-        "west_vs_rest": _sides(),
+        "west_vs_rest": _sides("validated", "region = 'WEST'", (
+            "clean_order_rate", "rejection_rate", "avg_quality_score", "null_customer_rate")),
+        "tier_vs_rest": _sides("tiered", "tier = 'GOLD'", (
+            "total_orders", "clean_order_rate", "rejection_rate", "avg_quality_score")),
+        "refresh_history": "select * from (values (1::bigint, 'shop.clean.validated_orders', 'SUCCEEDED', 1), "
+                           "(2::bigint, 'shop.clean.validated_orders', 'SUCCEEDED', 1)) as v(position, name, state, attempt)",
     }
     queries["stream_validated"] = queries["validated_orders"]
     queries["stream_metrics"] = queries["dq_orders_all"]

@@ -20,7 +20,7 @@ def with_payload(statuses: DataFrame) -> DataFrame:
     """One JSON text per violated row, ready for any messenger."""
     details = F.struct(
         F.col("table_name").alias("table"), F.col("metric_name").alias("metric"), "columns",
-        F.col("value").cast("bigint").alias("value"), F.col("expectation_name").alias("expectation"),
+        F.col("value").cast("double").alias("value"), F.col("expectation_name").alias("expectation"),
         F.date_format("measurement_time", "yyyy-MM-dd HH:mm:ss").alias("measurement_time"))
     return statuses.filter("violated").select(
         *SUBJECT, "measurement_time", F.to_json(details).alias("payload"))

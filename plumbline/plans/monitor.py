@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
@@ -35,6 +37,12 @@ class Association:
     def column_list(self) -> str:
         return ",".join(self.columns)
 
+    @property
+    def part_names(self) -> list[str]:
+        """Names that stay with metric and columns, whatever else is attached."""
+        own = hashlib.md5(f"{self.metric.label}|{self.metric.types}|{self.column_list}".encode()).hexdigest()[:16]
+        return [f"p{own}_{j}" for j in range(len(self.parts))]
+
 
 class Monitor:
     """What is measured on one table (``database.schema.table``).
@@ -52,11 +60,11 @@ class Monitor:
 
     def _find(self, metric: Metric, on: Sequence[str]) -> Association | None:
         return next((a for a in self.associations
-                     if a.metric.name == metric.name and a.columns == tuple(on)), None)
+                     if a.metric.label == metric.label and a.columns == tuple(on)), None)
 
     def attach(self, metric: Metric, on: Sequence[str]) -> Monitor:
         if self._find(metric, on):
-            raise ValueError(f"{metric.name} is already attached to {list(on)}")
+            raise ValueError(f"{metric.label} is already attached to {list(on)}")
         self.associations.append(Association(metric, tuple(on), tuple(metric.bind(on))))
         return self
 
@@ -71,25 +79,23 @@ class Monitor:
     def _require(self, metric: Metric, on: Sequence[str]) -> Association:
         found = self._find(metric, on)
         if found is None:
-            raise ValueError(f"{metric.name} is not attached to {list(on)}")
+            raise ValueError(f"{metric.label} is not attached to {list(on)}")
         return found
 
     # -- parts -----------------------------------------------------------------
 
     def parts(self) -> dict[str, Part]:
         """Every part of every attached metric under a column name."""
-        return {f"a{i}_p{j}": part
-                for i, a in enumerate(self.associations)
-                for j, part in enumerate(a.parts)}
+        return {name: part for a in self.associations for name, part in zip(a.part_names, a.parts)}
 
     def _value(self, i: int, as_of: Column) -> Column:
         a = self.associations[i]
-        return a.metric.finish([F.col(f"a{i}_p{j}") for j in range(len(a.parts))], as_of).cast("double")
+        return a.metric.finish([F.col(name) for name in a.part_names], as_of).cast("double")
 
     def long_form(self, wide: DataFrame, measured_at: Column, only: Sequence[int] | None = None) -> DataFrame:
         """From one row with all parts to one row per association."""
         chosen = range(len(self.associations)) if only is None else only
-        rows = [F.struct(F.lit(self.associations[i].metric.name).alias("metric_name"),
+        rows = [F.struct(F.lit(self.associations[i].metric.label).alias("metric_name"),
                          F.lit(self.associations[i].column_list).alias("columns"),
                          self._value(i, measured_at).alias("value"),
                          measured_at.alias("measurement_time")) for i in chosen]
@@ -112,8 +118,8 @@ class Monitor:
             together.setdefault(next((p.keys for p in a.parts if p.keys), ()), []).append(i)
         measured = None
         for chosen in together.values():
-            aggregates = [p.aggregate().alias(f"a{i}_p{j}")
-                          for i in chosen for j, p in enumerate(self.associations[i].parts)]
+            aggregates = [p.aggregate().alias(name) for i in chosen
+                          for name, p in zip(self.associations[i].part_names, self.associations[i].parts)]
             long = self.long_form(df.agg(*aggregates), moment(as_of), chosen)
             measured = long if measured is None else measured.unionByName(long)
         if measured is None:
@@ -121,7 +127,7 @@ class Monitor:
         return measured
 
     def statuses(self, results: DataFrame) -> DataFrame:
-        """Judge result rows: one row per expectation, with the verdict.
+        """Judge this table's result rows: one row per expectation, with the verdict.
 
         The pairing of metrics and expectations is known beforehand, so it is a
         projection and not a join.  A value that is unknown violates nothing,
@@ -131,7 +137,7 @@ class Monitor:
         for a in self.associations:
             if not a.expectations:
                 continue
-            mine = (F.col("metric_name") == a.metric.name) & (F.col("columns") == a.column_list)
+            mine = (F.col("metric_name") == a.metric.label) & (F.col("columns") == a.column_list)
             tests = []
             for e in a.expectations:
                 tests.append(F.struct(F.lit(len(verdicts)).alias("slot"),
@@ -141,7 +147,7 @@ class Monitor:
             judged.append(F.when(mine, F.array(*tests)))
         if not judged:
             raise ValueError(f"nothing is expected of {self.table}")
-        paired = results.select("*", F.inline(F.coalesce(*judged)))
+        paired = self.of_this_table(results).select("*", F.inline(F.coalesce(*judged)))
         met = F.coalesce(*verdicts)
         return schemas.conform(paired.select(
             "*", met.isNotNull().alias("evaluated"), F.coalesce(~met, F.lit(False)).alias("violated"),
@@ -216,7 +222,7 @@ class Monitor:
                    .groupBy("metric_name", "columns")
                    .agg(F.max_by("violated", "measurement_time").alias("violated")))
         attached = spark.createDataFrame(
-            [(self.name, a.metric.name, a.column_list, len(a.expectations)) for a in self.associations],
+            [(self.name, a.metric.label, a.column_list, len(a.expectations)) for a in self.associations],
             "table_name string, metric_name string, columns string, expectations int")
         return (attached.join(newest, ["metric_name", "columns"], "left")
                 .join(verdict, ["metric_name", "columns"], "left")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -13,10 +13,10 @@ from plumbline.plans.validate import HARD_RULES, SOFT_RULES, Rule
 
 # ---- fixed values -----------------------------------------------------------
 TOLERANCE = 0.10        # more than 10 % worse than overall is flagged
+ROWS = "n_rows"         # the measure that counts all rows
 # -----------------------------------------------------------------------------
 
 
-
 def _groups():
     """A window over the groups: one row each, after the aggregation."""
     return Window.partitionBy(F.lit(1))
@@ -49,38 +49,50 @@ def rejection_causes(validated: DataFrame, dimension: str, rules: Sequence[Rule]
 
 
 def flags(model: SemanticModel, dimension: str, higher_is_worse: Mapping[str, tuple[str, str, bool]],
-          tolerance: float = TOLERANCE) -> DataFrame:
-    """Groups that are more than ``tolerance`` worse than all groups together.
+          causes: Mapping[str, str], tolerance: float = TOLERANCE) -> DataFrame:
+    """Groups that are more than ``tolerance`` worse than all groups together,
+    and for each of them the likeliest cause.
 
-    Each entry maps a name to (numerator metric, denominator metric, higher is
+    Each entry maps a name to (numerator measure, denominator measure, higher is
     worse).  Overall figures are sums over the groups, so no second pass over
-    the rows is needed.
+    the rows is needed.  ``causes`` maps a rule to the measure that counts the
+    rows breaking it; the cause is the rule whose share of the group's rows
+    exceeds its share of all rows the most.
     """
-    needed = list(dict.fromkeys(m for n, d, _ in higher_is_worse.values() for m in (n, d)))
-    groups = model.query(needed, [dimension])
-    rows = []
+    measures = dict.fromkeys(m for n, d, _ in higher_is_worse.values() for m in (n, d))
+    measures = list({**measures, **dict.fromkeys(causes.values()), ROWS: None})
+    groups = model.sums(measures, [dimension])
+    whole = {m: F.sum(m).over(_groups()) for m in measures}
+
+    def share(top: Column, bottom: Column) -> Column:
+        return top.cast("double") / F.nullif(bottom.cast("double"), F.lit(0.0))
+
+    excess = [F.struct((share(F.col(m), F.col(ROWS)) - share(whole[m], whole[ROWS])).alias("excess"),
+                       F.lit(rule).alias("rule")) for rule, m in causes.items()]
+    columns = [F.greatest(*excess).alias("_worst") if len(excess) > 1 else excess[0].alias("_worst")]
     for name, (top, bottom, worse_when_higher) in higher_is_worse.items():
-        value = F.col(top).cast("double") / F.nullif(F.col(bottom).cast("double"), F.lit(0.0))
-        overall = (F.sum(top).over(_groups()).cast("double")
-                   / F.nullif(F.sum(bottom).over(_groups()).cast("double"), F.lit(0.0)))
+        value, overall = share(F.col(top), F.col(bottom)), share(whole[top], whole[bottom])
         flagged = value > overall * (1 + tolerance) if worse_when_higher else value < overall * (1 - tolerance)
-        rows.append((name, value, overall, flagged))
-    wide = groups.select(dimension, *[c for name, v, o, f in rows for c in (
-        v.alias(f"{name}_v"), o.alias(f"{name}_o"), f.alias(f"{name}_f"))])
-    return wide.select(dimension, F.inline(F.array(*[
+        columns += [value.alias(f"{name}_v"), overall.alias(f"{name}_o"), flagged.alias(f"{name}_f")]
+    cause = F.when(F.col("_worst.excess") > 0, F.col("_worst.rule"))
+    return groups.select(dimension, *columns).select(dimension, F.inline(F.array(*[
         F.struct(F.lit(name).alias("metric_name"), F.col(f"{name}_v").alias("value"),
-                 F.col(f"{name}_o").alias("overall"), F.col(f"{name}_f").alias("flagged"))
-        for name, *_ in rows])))
+                 F.col(f"{name}_o").alias("overall"), F.col(f"{name}_f").alias("flagged"),
+                 F.when(F.col(f"{name}_f"), cause).alias("cause"))
+        for name in higher_is_worse])))
 
 
 def one_against_rest(model: SemanticModel, dimension: str, group: str, metrics: Sequence[str]) -> DataFrame:
-    """One group beside all others together, metric by metric."""
-    side = f"case when {dimension} = '{group}' then 'one' else 'rest' end"
-    renamed = model.bind(**{**model.tables, model.base: model.tables[model.base].withColumn(dimension, F.expr(side))})
-    sides = renamed.query(list(metrics), [dimension])
-    long = sides.unpivot(dimension, [F.col(m).cast("double").alias(m) for m in metrics], "metric_name", "v")
+    """One group beside all others together (those without a group included),
+    metric by metric.  The measures of the others are added up first, so any
+    dimension and any metric will do."""
+    measures = model.measures_of(metrics)
+    one = F.coalesce(F.col(dimension) == F.lit(group), F.lit(False))
+    sides = model.sums(measures, [dimension]).groupBy(one.alias("_one")).agg(*[F.sum(m).alias(m) for m in measures])
+    long = sides.select("_one", *[F.expr(model.metrics[m]).cast("double").alias(m) for m in metrics]) \
+        .unpivot("_one", list(metrics), "metric_name", "v")
     both = long.groupBy("metric_name").agg(
-        F.max(F.when(F.col(dimension) == "one", F.col("v"))).alias("group_value"),
-        F.max(F.when(F.col(dimension) == "rest", F.col("v"))).alias("rest_value"))
+        F.max(F.when(F.col("_one"), F.col("v"))).alias("group_value"),
+        F.max(F.when(~F.col("_one"), F.col("v"))).alias("rest_value"))
     return both.select("metric_name", "group_value", "rest_value",
                        (F.col("group_value") - F.col("rest_value")).alias("difference"))

@@ -31,23 +31,37 @@ def orders_monitor() -> Monitor:
 def customers_monitor() -> Monitor:
     return (Monitor(CUSTOMERS)
             .attach(m.not_matching(EMAIL), ["email"])
-            .attach(m.DUPLICATE_COUNT, ["customer_id"]))
+            .attach(m.DUPLICATE_COUNT, ["customer_id"])
+            .expect(m.not_matching(EMAIL), ["email"], "emails_well_formed", "value = 0")
+            .expect(m.DUPLICATE_COUNT, ["customer_id"], "no_duplicates", "value = 0"))
 
 
 def products_monitor() -> Monitor:
     return (Monitor(PRODUCTS)
             .attach(m.not_accepted(CATEGORIES), ["category"])
-            .attach(m.outlier(PRICE_FLOOR, PRICE_CEILING), ["unit_price"]))
+            .attach(m.outlier(PRICE_FLOOR, PRICE_CEILING), ["unit_price"])
+            .expect(m.not_accepted(CATEGORIES), ["category"], "known_categories", "value = 0")
+            .expect(m.outlier(PRICE_FLOOR, PRICE_CEILING), ["unit_price"], "plausible_prices", "value = 0"))
 
 
 def inventory_monitor() -> Monitor:
-    return Monitor(INVENTORY).attach(m.below(0), ["quantity_on_hand"])
+    return (Monitor(INVENTORY)
+            .attach(m.below(0), ["quantity_on_hand"])
+            .expect(m.below(0), ["quantity_on_hand"], "no_negative_stock", "value = 0"))
 
 
 def shipments_monitor() -> Monitor:
     return (Monitor(SHIPMENTS)
             .attach(m.null_where("DELIVERED"), ["status", "tracking_number"])
-            .attach(m.later_than(LAST_DAY), ["ship_date"]))
+            .attach(m.later_than(LAST_DAY), ["ship_date"])
+            .expect(m.null_where("DELIVERED"), ["status", "tracking_number"], "delivered_are_tracked", "value = 0")
+            .expect(m.later_than(LAST_DAY), ["ship_date"], "nothing_from_the_future", "value = 0"))
+
+
+def all_monitors() -> dict[str, Monitor]:
+    """The monitor of each raw table."""
+    return {"orders": orders_monitor(), "customers": customers_monitor(), "products": products_monitor(),
+            "inventory": inventory_monitor(), "shipments": shipments_monitor()}
 
 
 def lineitem_monitor() -> Monitor:

@@ -8,6 +8,9 @@ from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 # Settings every job here assumes.  Partition counts and memory belong to the
 # cluster, so they are left to spark-submit.
 DEFAULTS = {
@@ -17,8 +20,7 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    STATE_STORE: ROCKSDB,
 }
 
 
@@ -32,21 +34,21 @@ def build_session(app: str = "plumbline", master: str | None = None, **conf: str
 
 
 @cache
-def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="plumbline-")
+def _local_root() -> tempfile.TemporaryDirectory:
+    return tempfile.TemporaryDirectory(prefix="plumbline-")  # goes when the process ends
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under ``spark.checkpoint.dir``.
 
-    Every executor must see it, so a machine-local folder is only accepted when
-    the whole session runs on one machine (local mode, as in the tests).
+    Every executor must see it, so only a session that runs on one machine (local
+    mode) may do without the setting; it gets a folder that ends with the process.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = _local_root()
+        root = _local_root().name
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 

@@ -47,7 +47,7 @@ STATUSES = _schema(
     "columns string, expectation_name string, expression string, value double, "
     "evaluated boolean, violated boolean, measurement_time timestamp_ntz")
 REFRESHES = _schema(
-    "name string, state string, state_message string, "
+    "name string, attempt int, state string, state_message string, "
     "refresh_start_time timestamp_ntz, refresh_end_time timestamp_ntz")
 
 

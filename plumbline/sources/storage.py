@@ -30,6 +30,12 @@ def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder through Spark's own file systems; nothing happens if there is none."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 class BatchLog:
     """Rows written per batch, one partition for each."""
 
@@ -40,6 +46,15 @@ class BatchLog:
     def write(self, df: DataFrame, batch_id: int) -> None:
         df.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
 
+    def add(self, df: DataFrame, batch_id: int) -> None:
+        """Rows beside those that the batch has already."""
+        append(df, f"{self.path}/batch_id={batch_id}")
+
+    def retire(self, before: int, since: int = 0) -> None:
+        """Drop the rows of batches that nothing reads any more."""
+        for batch_id in range(max(0, since), before):
+            remove(self.spark, f"{self.path}/batch_id={batch_id}")
+
     def batch(self, batch_id: int) -> DataFrame:
         """The rows of one batch, without touching the others."""
         rows = T.StructType(self.schema.fields[:-1])
@@ -77,5 +92,10 @@ class VersionedTable:
         append(mark, f"{self.path}/versions")
         return version
 
+    def retire(self, keep: int = 2) -> None:
+        """Drop the data of all but the newest versions."""
+        for version in range(1, self.current()[0] - keep + 1):
+            remove(self.spark, f"{self.path}/data/version={version}")
+
     def read(self) -> DataFrame:
         return read_or_empty(self.spark, f"{self.path}/data/version={self.current()[0]}", self.schema)

@@ -10,6 +10,7 @@ with what changed, not with the table.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +28,9 @@ VALIDATED = T.StructType([*schemas.ORDERS.fields,
                           T.StructField("quality_score", T.IntegerType()),
                           T.StructField("quality_status", T.StringType())])
 TARGET_LAG = "1 minute"
+# Batches between two compactions: a day at the usual lag.
+COMPACT_EVERY = 1440
+INITIAL = -1            # the batch number of the initial build
 
 
 def now() -> datetime:
@@ -34,8 +38,13 @@ def now() -> datetime:
 
 
 class ValidatedTable:
-    def __init__(self, spark: SparkSession, folder: str, name: str = "shop.clean.validated_orders"):
-        self.spark, self.folder, self.name = spark, folder.rstrip("/"), name
+    """``compact_every``: after so many batches, the finished ones are folded
+    into a new base and their changes dropped, so that neither the change log
+    nor what a reader has to list grows with the age of the table."""
+
+    def __init__(self, spark: SparkSession, folder: str, name: str = "shop.clean.validated_orders",
+                 compact_every: int = COMPACT_EVERY):
+        self.spark, self.folder, self.name, self.compact_every = spark, folder.rstrip("/"), name, compact_every
         self.base = VersionedTable(spark, f"{self.folder}/base", VALIDATED)
         self.changes = BatchLog(spark, f"{self.folder}/changes", VALIDATED)
         self.refreshes = BatchLog(spark, f"{self.folder}/refreshes", schemas.REFRESHES)
@@ -44,24 +53,31 @@ class ValidatedTable:
 
     def initialize(self, orders: DataFrame) -> None:
         """Build the whole table from what is there."""
-        self.base.publish(validated_orders(orders))
+        self._noted(INITIAL, lambda: self.base.publish(validated_orders(orders)))
 
     def refresh(self, batch: DataFrame, batch_id: int) -> None:
         """Add one batch of raw orders and note how it went."""
-        started = now()
+        self._noted(batch_id, lambda: self.changes.write(validated_orders(batch), batch_id))
+        # The batch before is finished: it is not run again once this one has begun.
+        if batch_id and batch_id % self.compact_every == 0:
+            self.compact(batch_id - 1)
+
+    def _noted(self, batch_id: int, work: Callable[[], object]) -> None:
+        """Run ``work``; every attempt at a batch leaves a row of its own."""
+        attempt, started = self.refreshes.batch(batch_id).count() + 1, now()
         try:
-            self.changes.write(validated_orders(batch), batch_id)
+            work()
         except Exception as error:
-            self._note(batch_id, "FAILED", str(error)[:1000], started)
+            self._note(batch_id, attempt, "FAILED", str(error), started)
             raise
-        self._note(batch_id, "SUCCEEDED", None, started)
+        self._note(batch_id, attempt, "SUCCEEDED", None, started)
 
-    def _note(self, batch_id: int, state: str, message: str | None, started: datetime) -> None:
+    def _note(self, batch_id: int, attempt: int, state: str, message: str | None, started: datetime) -> None:
         row = self.spark.range(1).select(
-            F.lit(self.name).alias("name"), F.lit(state).alias("state"),
+            F.lit(self.name).alias("name"), F.lit(attempt).alias("attempt"), F.lit(state).alias("state"),
             F.lit(message).cast("string").alias("state_message"),
             moment(started).alias("refresh_start_time"), moment(now()).alias("refresh_end_time"))
-        self.refreshes.write(row, batch_id)
+        self.refreshes.add(row, batch_id)
 
     def follow(self, orders: DataFrame, lag: str = TARGET_LAG) -> DataStreamWriter:
         """The stream that keeps the table within ``lag`` of its source; call
@@ -70,9 +86,15 @@ class ValidatedTable:
                 .option("checkpointLocation", f"{self.folder}/checkpoint").trigger(processingTime=lag))
 
     def compact(self, through_batch: int) -> int:
-        """Fold all changes up to a finished batch into a new base.  The stream
-        may go on meanwhile: later batches stay in the change log."""
-        return self.base.publish(self._merged(through_batch), through_batch)
+        """Fold all changes up to a finished batch into a new base, and drop
+        them.  The stream may go on meanwhile: later batches stay in the change
+        log.  The base before stays for readers that have begun with it; the
+        changes it lacks are those of the compaction before, kept as well."""
+        covered = self.base.current()[1]
+        version = self.base.publish(self._merged(through_batch), through_batch)
+        self.changes.retire(covered + 1, covered + 1 - self.compact_every)
+        self.base.retire()
+        return version
 
     # -- reading -----------------------------------------------------------------
 
@@ -88,4 +110,5 @@ class ValidatedTable:
 
     def refresh_history(self, n: int = 5) -> DataFrame:
         return (self.refreshes.read().filter(F.col("name") == self.name)
-                .orderBy(F.col("refresh_start_time").desc(), F.col("batch_id").desc()).limit(n).drop("batch_id"))
+                .orderBy(F.col("refresh_start_time").desc(), F.col("batch_id").desc(), F.col("attempt").desc())
+                .limit(n).drop("batch_id"))

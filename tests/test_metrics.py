@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import json
 from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from plumbline.functions import metrics as m
+from plumbline.plans.alerts import with_payload
 from plumbline.plans.monitor import Monitor
 from plumbline.plans.shop_monitors import orders_monitor
 from plumbline.sources import schemas
@@ -162,3 +164,35 @@ def test_latest_only_of_this_table(spark):
     newest = orders_monitor().latest(log).collect()
     assert len(newest) == 20 and {r.table_name for r in newest} == {"orders"}
     assert [r.value for r in newest] == [float(i) for i in range(24, 4, -1)]
+
+
+def test_parameters_tell_metrics_apart(table):
+    registry = m.Registry()
+    registry.create(m.not_matching("a"))
+    registry.create(m.not_matching("b"))
+    with pytest.raises(ValueError):
+        registry.create(m.not_matching("b"))
+    registry.create(m.not_matching("b"), replace=True)
+    assert registry.get("NOT_MATCHING_COUNT", "string", parameters=("b",)).label == "NOT_MATCHING_COUNT(b)"
+    monitor = Monitor("shop.raw.t").attach(m.not_matching("a"), ["k"]).attach(m.not_matching("b"), ["k"])
+    with pytest.raises(ValueError):
+        monitor.attach(m.not_matching("a"), ["k"])
+    monitor.expect(m.not_matching("b"), ["k"], "all_b", "value = 0")
+    assert {r.metric_name: r.value for r in monitor.measure(table, NOON).collect()} == {
+        "NOT_MATCHING_COUNT(a)": 2, "NOT_MATCHING_COUNT(b)": 4}
+    assert [(r.metric_name, r.value, r.violated) for r in monitor.evaluate(table, NOON).collect()] == [("NOT_MATCHING_COUNT(b)", 4, True)]
+
+
+def test_only_results_of_this_table_are_judged(spark):
+    monitor, at = orders_monitor(), datetime(2001, 1, 1)
+    log = spark.createDataFrame([("shop", "raw", t, "DUPLICATE_COUNT", "order_id", v, at) for t, v in
+                                 (("orders", 0.0), ("shipments", 7.0))] + [("other", "raw", "orders", "DUPLICATE_COUNT", "order_id", 9.0, at)],
+                                schemas.RESULTS)
+    assert [(r.table_name, r.value, r.violated) for r in monitor.statuses(log).collect()] == [("orders", 0.0, False)]
+
+
+def test_payload_keeps_the_fraction(spark):
+    monitor = Monitor("shop.raw.t").attach(m.FILL_RATE, ["k"]).expect(m.FILL_RATE, ["k"], "filled", "value > 99")
+    log = spark.createDataFrame([("shop", "raw", "t", "FILL_RATE", "k", 97.6, datetime(2001, 1, 1))], schemas.RESULTS)
+    payload = json.loads(with_payload(monitor.statuses(log)).first()["payload"])
+    assert payload["value"] == 97.6 and payload["expectation"] == "filled"

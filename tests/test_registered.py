@@ -58,7 +58,7 @@ def test_known_numbers(spark):
         assert rows(spark, key, key) == {(value,)}
     assert rows(spark, "inventory_orphans", "orphan_rows") == {(65,)}
     assert rows(spark, "redact_counts", "*") == {
-        ("EMAIL", 11, 12), ("IP", 25, 32), ("CARD", 24, 30), ("PHONE", 18, 19)}
+        ("ADDRESS", 0, 0), ("EMAIL", 11, 12), ("IP", 25, 32), ("CARD", 24, 30), ("PHONE", 18, 19)}
     sent = catalog.QUERIES["alerts_cooldown"](spark, MIDDLE).groupBy("event_type").count().collect()
     assert {tuple(r) for r in sent} == {("click", 471), ("error", 467), ("purchase", 466),
                                         ("signup", 487), ("view", 463)}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from datetime import datetime, timedelta
 
 import pytest
@@ -71,9 +72,24 @@ def test_earlier_copy_that_arrives_late_wins(spark, folder):
 
 def test_failed_refresh_is_noted(spark, folder):
     table = ValidatedTable(spark, folder)
-    with pytest.raises(Exception):
+    orders = raw(spark, SMALL, "orders")
+    table.initialize(orders.limit(3))
+    with pytest.raises(Exception) as failure:
         table.refresh(spark.range(1), 0)
-    assert [r.state for r in table.refresh_history().collect()] == ["FAILED"]
+    table.refresh(orders, 0)
+    history = table.refresh_history().collect()
+    assert [(r.state, r.attempt) for r in history] == [("SUCCEEDED", 2), ("FAILED", 1), ("SUCCEEDED", 1)]
+    assert history[1].state_message == str(failure.value) and len(history[1].state_message) > 100
+
+
+def test_compaction_by_rule(spark, orders, folder):
+    table = ValidatedTable(spark, f"{folder}/table", compact_every=2)
+    drain(table.follow(batches(orders, "order_id", 7, f"{folder}/in")))
+    assert same(table.read(), validated_orders(orders))
+    assert table.base.current() == (3, 5)
+    # The newest compaction's changes stay for readers of the base before; older ones are gone, as are older bases.
+    assert [r.batch_id for r in table.changes.read().select("batch_id").distinct().orderBy("batch_id").collect()] == [4, 5, 6]
+    assert sorted(p for p in os.listdir(f"{folder}/table/base/data") if p.startswith("version")) == ["version=2", "version=3"]
 
 
 def test_monitor(spark, orders, folder):
@@ -95,6 +111,48 @@ def test_monitor(spark, orders, folder):
     assert sliced.count() == orders.count()
 
 
+def test_attach_and_detach_between_runs(spark, orders, folder):
+    """Values follow their metric, whatever else is attached."""
+    sliced = orders.withColumn("slice", F.ntile(4).over(Window.orderBy("order_id"))).cache()
+
+    def feed(i):
+        sliced.filter(F.col("slice") == i).drop("slice").coalesce(1).write.mode("append").parquet(f"{folder}/in")
+
+    def so_far():
+        return spark.read.schema(orders.schema).parquet(f"{folder}/in")
+
+    def run(monitor):
+        recorder = MonitorStream(spark, monitor, f"{folder}/log", lambda batch: AS_OF, table=so_far)
+        drain(recorder.follow(spark.readStream.schema(orders.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")))
+        newest = recorder.results.read().agg(F.max("batch_id")).first()[0]
+        assert same(recorder.results.batch(newest), monitor.measure(so_far(), AS_OF))
+        return newest
+
+    feed(1)
+    run(orders_monitor())
+    feed(2)
+    detached = orders_monitor().detach(m.NULL_COUNT, ["customer_id"])
+    run(detached)
+    feed(3)
+    grown = (orders_monitor().attach(m.FILL_RATE, ["customer_notes"]).attach(m.not_matching("x"), ["region"])
+             .attach(m.not_matching("S"), ["region"]).attach(m.DUPLICATE_COUNT, ["customer_id", "product_id"]))
+    run(grown)
+    feed(4)
+    assert run(grown.detach(m.DUPLICATE_COUNT, ["order_id"])) == 3
+    kept = sorted(p for p in os.listdir(f"{folder}/log/parts") if p.startswith("batch"))
+    assert kept == ["batch_id=2", "batch_id=3"] == sorted(p for p in os.listdir(f"{folder}/log/last_sent") if p.startswith("batch"))
+
+
+def test_a_new_metric_needs_the_table(spark, orders, folder):
+    orders.limit(5).write.parquet(f"{folder}/in")
+    stream = lambda: spark.readStream.schema(orders.schema).parquet(f"{folder}/in")
+    drain(MonitorStream(spark, orders_monitor(), f"{folder}/log", lambda batch: AS_OF).follow(stream()))
+    orders.limit(3).write.mode("append").parquet(f"{folder}/in")
+    late = MonitorStream(spark, orders_monitor().attach(m.FILL_RATE, ["region"]), f"{folder}/log", lambda batch: AS_OF)
+    with pytest.raises(Exception, match="needs the table"):
+        drain(late.follow(stream()))
+
+
 def test_alerts(spark, folder):
     violations = given(spark, SMALL, "events").filter("value > 5").select("event_type", "ts")
     stream = batches(violations, "ts", 4, f"{folder}/in")

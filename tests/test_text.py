@@ -22,6 +22,11 @@ def one(spark, value, expression):
     ("1 Elm Dr, St. Paul MN 55101", ("1 Elm Dr", "St. Paul", "MN", "55101"), True, "[STREET], St. Paul MN [ZIP]"),
     ("12 Oak St, Austin ZZ 78701", ("12 Oak St", "Austin", "ZZ", "78701"), False, "[STREET], Austin ZZ [ZIP]"),
     ("12 Oak St, Austin TX 787", (None,) * 4, False, "[ADDRESS]"),
+    ("12 Oak St, Austin TX 78701-1234", ("12 Oak St", "Austin", "TX", "78701-1234"), True, "[STREET], Austin TX [ZIP]"),
+    ("12 N. Oak St., Austin TX 78701", ("12 N. Oak St.", "Austin", "TX", "78701"), True, "[STREET], Austin TX [ZIP]"),
+    ("12 Oak St, Apt 4, Austin TX 78701", ("12 Oak St, Apt 4", "Austin", "TX", "78701"), True, "[STREET], Austin TX [ZIP]"),
+    ("12 5th Ave Apt 4, Austin TX 78701", ("12 5th Ave Apt 4", "Austin", "TX", "78701"), True, "[STREET], Austin TX [ZIP]"),
+    ("12 Oak St, Austin TX 78701-12", (None,) * 4, False, "[ADDRESS]"),
     ("n/a 501", (None,) * 4, False, "[ADDRESS]"),
     ("", (None,) * 4, False, "[ADDRESS]"),
     (None, (None,) * 4, None, None),
@@ -37,6 +42,11 @@ def test_addresses(spark, text, parts, real, masked):
     ("from 10.0.0.1 and 192.168.1.20", "from [IP] and [IP]"),
     ("card 4111 1111 1111 1111 or 4111111111111111", "card [CARD] or [CARD]"),
     ("call +1 (555) 123-4567", "call [PHONE]"),
+    ("call (512) 555-0100 or 512-555-0100.", "call [PHONE] or [PHONE]."),
+    ("number 12345678901234567 is no card", "number 12345678901234567 is no card"),
+    ("version 1.2.3.4.5 is no address, 1.2.3.4. is", "version 1.2.3.4.5 is no address, [IP]. is"),
+    ("moved to 12 Oak St., Apt 4, St. Paul MN 55101-0001, in 2021", "moved to [ADDRESS], in 2021"),
+    ("In 2020 he left, then 7 Elm Dr, Austin TX 78701 was home", "In 2020 he left, then [ADDRESS] was home"),
     ("nothing here", "nothing here"),
     (None, None),
 ])
