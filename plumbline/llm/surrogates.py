@@ -15,6 +15,7 @@ same kind, derived from a secret key and the entity alone:
 * Different entities get different surrogates, none of which is itself an entity
   of the documents.  All different entities with their surrogates are checked;
   where two meet, all but the first one count their attempt up until none do.
+  Addresses and names grow longer where their format has no surrogate left.
   Nearly always there is nothing to do, and documents are rewritten in one pass;
   otherwise only the documents concerned get the attempts joined to them.
 
@@ -50,6 +51,8 @@ GIVEN = {
 SYLLABLES = {"Latin": ("ba", "be", "da", "do", "fe", "ga", "ha", "ka", "la", "lo", "ma", "mi", "na", "ra", "so", "ta"),
              "Cyrillic": ("ба", "ве", "га", "да", "зо", "ка", "ла", "ми", "на", "ро", "са", "та", "фе", "ха", "ша", "ле")}
 
+LONGER, MOST = 8, 64    # attempts from which surrogates grow, and at which it is an error
+
 _NAME = r"\p{Lu}\p{Ll}+(?:-\p{Lu}\p{Ll}+)?"
 _GIVEN = "|".join(sorted(n for by in GIVEN.values() for names in by.values() for n in names))
 _TITLE = "(?:" + "|".join(sorted(t for ts in TITLES.values() for t in ts)) + r")\.?"
@@ -129,12 +132,14 @@ def surrogate(entity: Column, kind: Column, norm: Column, attempt: Column, key:
     seed = F.concat_ws("|", F.lit(key), kind, attempt.cast("string"), norm)
     host = F.regexp_extract(entity, r"^(.*)(\.[A-Za-z]+)$", 1)
     octets = [(_draw(seed, k) % (256 if k else 223) + (0 if k else 1)).cast("string") for k in range(4)]
-    return (F.when(kind == "email", F.concat(_respelled(host, seed, 26), F.regexp_extract(entity, r"(\.[A-Za-z]+)$", 1)))
+    # Where a format leaves too few surrogates, late attempts may be longer.
+    longer = F.when(attempt >= LONGER, F.concat(F.lit("x"), attempt.cast("string"))).otherwise("")
+    return (F.when(kind == "email", F.concat(longer, _respelled(host, seed, 26), F.regexp_extract(entity, r"(\.[A-Za-z]+)$", 1)))
             .when(kind == "ip", F.concat_ws(".", *octets))
             .when(kind == "phone", F.concat(F.regexp_extract(entity, r"^\+[0-9]{1,3}", 0),
                                             _respelled(F.regexp_replace(entity, r"^\+[0-9]{1,3}", ""), seed, 26)))
             .when(kind == "token", _respelled(entity, seed, 6)).when(kind == "card", _respelled(entity, seed, 26))
-            .otherwise(_person(entity, seed, key)))
+            .otherwise(F.concat(_person(entity, seed, key), F.when(attempt >= LONGER, F.repeat(F.lit("o"), attempt - LONGER + 1)).otherwise(""))))
 
 
 def _found(text: Column) -> Column:
@@ -156,7 +161,7 @@ def attempts(docs: DataFrame, key: str, text: str = "text") -> DataFrame | None:
     """(kind, norm, attempt) of the entities whose first surrogate met another one; None if there are none."""
     known = written(_named(inventory(docs, text).withColumn("attempt", F.lit(0)), key), "surrogates")
     clashed = False
-    while True:
+    for _ in range(MOST):
         first = known.groupBy("kind", "made").agg(F.min("norm").alias("keeps"), F.count("*").alias("n")).filter("n > 1").drop("n")
         taken = known.select("kind", F.col("norm").alias("made"))
         late = known.join(first, ["kind", "made"]).filter("norm != keeps").select("kind", "norm") \
@@ -168,6 +173,7 @@ def attempts(docs: DataFrame, key: str, text: str = "text") -> DataFrame | None:
         again = known.join(late.withColumn("late", F.lit(1)), ["kind", "norm"], "left").select(
             "kind", "norm", (F.col("attempt") + F.coalesce("late", F.lit(0))).alias("attempt"))
         known = written(_named(again, key), "surrogates")
+    raise RuntimeError(f"after {MOST} attempts some entities have no surrogate of their own")
 
 
 def replaced(docs: DataFrame, key: str, text: str = "text") -> DataFrame:

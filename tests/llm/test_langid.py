@@ -1,0 +1,77 @@
+from __future__ import annotations
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from plumbline.llm import langid, registry
+from tests.conftest import MIDDLE
+from tests.llm.rows import awkward, nothing, others_kept
+
+ADDED = ("lang_pred", "score", "ambiguous")
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 9, 40])
+def test_codewords_are_apart(n):
+    code = langid.codewords(n)
+    assert code.shape[0] == n and set(np.unique(code)) <= {-1, 1}
+    if n > 1:
+        apart = [(code[i] != code[j]).sum() for i in range(n) for j in range(i)]
+        assert min(apart) >= max(1, code.shape[1] // 5) and (np.abs(code.sum(0)) < n).all()
+
+
+def test_held_out_accuracy(spark):
+    found = registry.op10_langid(spark, MIDDLE)
+    docs = spark.read.parquet(f"{MIDDLE}/documents.parquet").select("doc_id", "lang")
+    rows = found.join(docs, "doc_id").collect()
+    assert len(rows) == docs.count() and {r.lang_pred for r in rows} <= {r.lang for r in rows} | {"und"}
+    held = [r for r in rows if r.held_out]
+    assert 0.1 < len(held) / len(rows) < 0.3
+    assert sum(r.lang == r.lang_pred for r in held) >= 0.98 * len(held)
+    assert all(0 <= r.score <= 1 for r in rows)
+    again = {(r.doc_id, r.lang_pred) for r in registry.op10_langid(spark, MIDDLE).collect()}
+    assert again == {(r.doc_id, r.lang_pred) for r in rows}
+
+
+def test_learns_from_the_others_only(spark):
+    """Labels of held-out rows make no difference."""
+    docs = spark.read.parquet(f"{MIDDLE}/documents.parquet")
+    learn = docs.filter(F.crc32(F.col("doc_id").cast("string")) % 5 != 0)
+    a, b = langid.trained(learn), langid.trained(learn.repartition(5))
+    assert a.languages == b.languages and np.array_equal(a.odds, b.odds)
+
+
+def test_sample_is_bounded(spark):
+    docs = spark.read.parquet(f"{MIDDLE}/documents.parquet")
+    small = langid.trained(docs, sample_rows=150)
+    right = langid.predicted(docs, small).agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0]
+    assert right > 0.97
+
+
+def test_ambiguous(spark):
+    docs = spark.read.parquet(f"{MIDDLE}/documents.parquet")
+    texts = spark.createDataFrame([("Of.",), ("a",), ("The the of that was with the from",)], "text string")
+    got = {r.text: r.ambiguous for r in langid.predicted(texts, langid.trained(docs), least_lead=0.5).collect()}
+    assert got["a"] and not got["The the of that was with the from"]
+
+
+@pytest.mark.parametrize("languages", [0, 1, 7])
+def test_any_number_of_languages(spark, languages):
+    rows = [(i, " ".join(chr(97 + 3 * k) * 3 + chr(98 + 3 * k) for _ in range(30)), f"l{k}") for k in range(languages) for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.trained(docs)
+    assert len(model.languages) == languages
+    out = langid.predicted(docs.unionByName(spark.createDataFrame([(9, "zzzz", None)], docs.schema)), model).collect()
+    assert all(r.lang_pred == (r.lang or r.lang_pred) for r in out)
+    if not languages:
+        assert [(r.lang_pred, r.score) for r in out] == [("und", 0.0)]
+
+
+def test_awkward(spark):
+    docs = awkward(spark)
+    out = langid.predicted(docs, langid.trained(docs))
+    assert others_kept(docs, out, *ADDED)
+    assert {r.text: (r.lang_pred, r.score) for r in out.collect() if r.lang_pred == "und"} == {
+        t: ("und", 0.0) for t in (None, "", " \t\n", "12 34 !!", "#### $$$$ ||||" * 30)}
+    model = langid.trained(nothing(spark))
+    assert langid.predicted(nothing(spark), model).collect() == [] and model.languages == ()

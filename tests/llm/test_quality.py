@@ -1,0 +1,65 @@
+from __future__ import annotations
+
+import re
+from collections import Counter
+
+from plumbline.llm import quality, registry
+from plumbline.llm.sql import ORACLE_SQL
+from tests.compare import connect, differences
+from tests.conftest import MIDDLE, SMALL
+from tests.llm.rows import TEXTS, awkward, nothing, others_kept
+
+
+def measured(text):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    windows = [tuple(words[i:i + 3]) for i in range(len(words) - 2)]
+    often = Counter(windows)
+    places = {i + k for i, w in enumerate(windows) if often[w] > 1 for k in range(3)}
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    return (len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(places),
+            len(words) < 50 or 100 * len(places) > 50 * len(words))
+
+
+def test_measures(spark):
+    texts = [*TEXTS, "a b c", "a b c a b c", "a a a a", "x y z x y z x y " * 20, "one\n\none \none\r\n one\none", "a\x0bb\x0cc\rd",
+             "ab c ab c ab c", "abc abc ab cabc"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = quality.measures(docs).orderBy("doc_id").collect()
+    assert [(r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) for r in rows] == list(map(measured, texts))
+
+
+def test_query(spark):
+    assert differences(registry.op5_quality(spark, MIDDLE), connect(MIDDLE), ORACLE_SQL["op5_quality"]) == []
+
+
+def test_no_python_in_the_plan(spark):
+    plan = registry.op5_quality(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def test_cascade_orders_by_rejections_per_second(spark):
+    docs = spark.read.parquet(f"{MIDDLE}/documents.parquet")
+    order = quality.cascade(docs, sample_rows=200)
+    assert {r for r, _, _ in order} == set(quality.RULES)
+    worth = [share / seconds for _, seconds, share in order]
+    assert worth == sorted(worth, reverse=True)
+
+
+def test_any_order_gives_the_same_verdict(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    kept = [{(r.doc_id, r.kept) for r in quality.judged(docs, rules).select("doc_id", "kept").collect()}
+            for rules in (quality.RULES, quality.RULES[::-1])]
+    assert kept[0] == kept[1]
+    none = quality.judged(docs, ()).filter("kept = base_failed").count()
+    assert none == 0
+
+
+def test_awkward(spark):
+    docs = awkward(spark)
+    out = quality.judged(docs)
+    assert others_kept(docs, out, *quality.MEASURES, "kept", "rejected_by")
+    verdict = {r.text: r.kept for r in out.collect()}
+    assert verdict[TEXTS[8]] and verdict[TEXTS[11]]
+    assert not any(verdict[t] for t in (None, "", "word", TEXTS[12], TEXTS[13], TEXTS[16]))
+    assert quality.judged(nothing(spark)).collect() == []
