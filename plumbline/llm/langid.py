@@ -97,7 +97,7 @@ def fitted(counts: np.ndarray, languages: tuple[str, ...]) -> Model:
         odds = np.zeros((counts.shape[1], 1), np.float32)
     else:
         odds = np.stack([np.log(share[one[:, b]].mean(0) / share[zero[:, b]].mean(0)) for b in range(code.shape[1])], 1)
-    spread = np.maximum((code * (share @ odds)).mean(0), 1e-6)
+    spread = np.maximum((code * (share @ odds)).mean(0), 1e-6) if languages else np.ones(code.shape[1])
     return Model(languages, code, odds.astype(np.float32), spread.astype(np.float64))
 
 

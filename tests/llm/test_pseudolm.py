@@ -77,7 +77,8 @@ def test_held_out_text_gets_likelier(spark):
     frequencies = mean(pseudolm.scored(held, pseudolm.trained(learn, rounds=0)))
     model = pseudolm.trained(learn)
     after = mean(pseudolm.scored(held, model))
-    shuffled = held.withColumn("text", F.expr("array_join(reverse(array_sort(split(text, ' '))), ' ')"))
+    shuffled = held.withColumn("text", F.expr(
+        "array_join(transform(array_sort(transform(split(text, ' '), (w, i) -> struct(md5(concat(w, i)) as h, w as w))), s -> s.w), ' ')"))
     assert after > frequencies + 0.02 > np.log(1 / pseudolm.TOKENS)
     assert mean(pseudolm.scored(shuffled, model)) < after - 0.05
 
