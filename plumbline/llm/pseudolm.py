@@ -159,9 +159,8 @@ def train_pass(table: np.ndarray, sequence: np.ndarray, squares: np.ndarray, rat
         of_class[kind, at] = share
         of_class = of_class @ np.concatenate([second_loss, d_word], axis=1)
         # Each token's share in what its neighbours have lost, place by place; equal tokens are summed up.
-        back = np.zeros((hi - lo + 2 * REACH, len(_PLACES) * WIDTH), table.dtype)
-        for k, place in enumerate(_PLACES):
-            back[REACH + place:REACH + place + hi - lo, k * WIDTH:(k + 1) * WIDTH] = d_hidden
+        lost = np.zeros((hi - lo + 4 * REACH, WIDTH), table.dtype)
+        lost[2 * REACH:-2 * REACH] = d_hidden
         near = sequence[lo - REACH:hi + REACH]
         order = np.argsort(near, kind="stable")
         ranked = near[order]
@@ -172,7 +171,8 @@ def train_pass(table: np.ndarray, sequence: np.ndarray, squares: np.ndarray, rat
         step("word_bias", slice(None), of_class[:, WIDTH:])
         step("hidden_bias", slice(None), d_hidden.sum(0)[None] * share)
         step("class_bias", slice(None), d_class.sum(0)[None] * share)
-        step("context", ranked[first], np.add.reduceat(back[order], first, axis=0) * share)
+        back = lost[order[:, None] + (REACH - np.array(_PLACES))].reshape(len(order), -1)
+        step("context", ranked[first], np.add.reduceat(back, first, axis=0) * share)
 
 
 def _start(counts: np.ndarray, seed: int) -> np.ndarray:
