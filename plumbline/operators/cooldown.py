@@ -3,6 +3,8 @@
 The rule is sequential: whether a violation is sent depends on the alert before
 it.  A fold over all violations of a key would put that key into one task.  Here
 the timeline of every key is cut into segments that are worked on in parallel.
+Segments are spans of time: the distinct moments of one key within ``fan_in``
+cooldowns meet in one task, and nothing divides them further.
 
 What happens inside a segment depends on the past only through one number, the
 first moment at which an alert may be sent again.  So a segment is summarised by
@@ -188,10 +190,8 @@ def alerts_with_cooldown(violations: DataFrame, keys: Sequence[str], ts: str, co
         return segments.drop("segment").sortWithinPartitions("upto").mapInArrow(upwards(width), row_schema)
 
     def resolve(segments: DataFrame, entries: DataFrame, width: int) -> DataFrame:
-        """Segments that alerts come through; the others send nothing.  There is
-        one entry per segment, so hashing them takes no more room than the rows."""
-        entered = segments.join(entries.select("label", segment(width), "allowed").hint("shuffle_hash"),
-                                ["label", "segment"])
+        """Segments that alerts come through; the others send nothing."""
+        entered = segments.join(entries.select("label", segment(width), "allowed"), ["label", "segment"])
         return entered.drop("segment").sortWithinPartitions("upto").mapInArrow(downwards(width), entry_schema)
 
     # Equal moments of a key are one violation; tasks drop them before the
