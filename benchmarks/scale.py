@@ -1,4 +1,4 @@
-"""Larger trials on generated orders: ``python benchmarks/scale.py FOLDER [ROWS]``.
+"""Larger trials on generated orders: ``python benchmarks/scale.py FOLDER [ROWS [PART OF A LABEL]]``.
 
 The folder receives the generated tables once and keeps them for later runs.
 Each line is the wall time of one complete result, after one warm-up.
@@ -31,6 +31,8 @@ def discard(df) -> None:
 
 
 def timed(label: str, run) -> None:
+    if len(sys.argv) > 3 and sys.argv[3] not in label:
+        return
     times = []
     for _ in range(2):
         start = time.perf_counter()
