@@ -36,7 +36,8 @@ SPELLINGS = (
 
 def canonical(text: Column) -> Column:
     """Lower case, without copyright lines, letters and digits only, one space between words, one spelling."""
-    out = F.regexp_replace(F.lower(text), COPYRIGHT_LINE, "")
+    # "d": only a line feed ends a line, as elsewhere.
+    out = F.regexp_replace(F.lower(text), COPYRIGHT_LINE.replace("(?m)", "(?md)"), "")
     out = F.trim(F.regexp_replace(out, r"[^\p{L}\p{N}]+", " "))
     for other, usual in SPELLINGS:
         out = F.replace(out, F.lit(other), F.lit(usual))

@@ -21,7 +21,8 @@ def test_disguised_copies(spark):
 
 
 def test_both_canonical_forms_agree(spark):
-    texts = [*KNOWN.values(), "Ünïcode Licence\n(C) nobody\nfulfil per cent", "a_b-c"]
+    texts = [*KNOWN.values(), "Ünïcode Licence\n(C) nobody\nfulfil per cent", "a_b-c", "one\rcopyright x\ntwo",
+             "one\u2028(c) x two\r\n© y\r\nthree"]
     docs = spark.createDataFrame([(t,) for t in texts], "text string")
     assert [r[0] for r in docs.select(licences.canonical(docs["text"])).collect()] == list(map(licences.canonical_text, texts))
 
