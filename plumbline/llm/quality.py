@@ -24,6 +24,7 @@ from plumbline.llm.columns import aside
 from plumbline.session import written
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "base_failed")
+SAMPLED_BYTES = 100_000
 SPACE = "[\\x20\\x09-\\x0D]+"
 
 
@@ -100,10 +101,12 @@ def cascade(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text"
             sample_rows: int = 1000) -> list[tuple[Rule, float, float]]:
     """(rule, seconds, share rejected), best first: the order by rejections per second on a sample.
 
-    The sample is the first ``sample_rows`` texts that Spark finds (it starts no
-    more tasks than that takes) and serves this estimate only.
+    The sample is the first ``sample_rows`` texts of at most ``SAMPLED_BYTES``
+    that Spark finds (it starts no more tasks than that takes); it serves this
+    estimate only, and its size on the driver is bounded.
     """
-    texts = docs.select(F.col(f"`{text}`").alias(text)).limit(sample_rows).collect()
+    short = docs.filter(F.octet_length(F.col(f"`{text}`")) <= SAMPLED_BYTES)
+    texts = short.select(F.col(f"`{text}`").alias(text)).limit(sample_rows).collect()
     sample = docs.sparkSession.createDataFrame(texts, docs.select(F.col(f"`{text}`").cast("string").alias(text)).schema)
     sample = written(measures(sample, text), "quality-sample")
     found = []
