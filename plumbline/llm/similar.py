@@ -135,7 +135,7 @@ def shared_counts(values: np.ndarray, offsets: np.ndarray, cells: int = 1 << 23)
     owner, which = owner[use], (np.cumsum(common) - 1)[which[use]]
     order = np.argsort(which, kind="stable")
     owner, which = owner[order], which[order]
-    out = np.zeros((rows, rows), np.float32)
+    out = np.zeros((rows, rows))  # parts are exact in float32, their sums and the threshold need more
     width = max(1, cells // rows)
     for lo in range(0, int(which[-1]) + 1 if len(which) else 0, width):
         a, b = np.searchsorted(which, [lo, lo + width])

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from plumbline.llm import components, registry, similar
@@ -55,6 +56,27 @@ def test_large_group_of_variants(spark, limits):
     assert got == brute_force(rows)
 
 
+@pytest.mark.parametrize("common", [12, 24, 28, 32, 36, 400, 1596])
+def test_links_at_exactly_the_threshold(common):
+    """common of 5 / 4 common n-grams is 0.8; one more in the union is less."""
+    apart = common // 4
+    for more, links in ((0, 1), (1, 0)):
+        a, b = np.arange(common + apart // 2), np.concatenate([np.arange(common), 10 ** 6 + np.arange(apart - apart // 2 + more)])
+        got, label = similar.linked_sets(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]), np.ones(2, np.int64), None, 0.8)
+        assert got.tolist() == [links, links] and label.tolist() == [0, 1 - links]
+
+
+def test_texts_at_exactly_the_threshold(spark):
+    rows = []
+    for k, common in enumerate((12, 24, 28, 32, 36)):
+        base = [f"w{k}x{j}" for j in range(common + 4)]
+        apart = common // 4
+        rows += [(10 * k, " ".join(base + [f"a{k}x{j}" for j in range(apart // 2)])),
+                 (10 * k + 1, " ".join(base + [f"b{k}x{j}" for j in range(apart - apart // 2)]))]
+    got = sorted((r.doc_id, r.class_id, r.n_links) for r in similar.linked(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == brute_force(rows) == [(10 * k + i, 10 * k, 1) for k in range(5) for i in range(2)]
+
+
 def test_prefix_is_shortened_until_the_recall_is_reached():
     assert similar.prefix_length(0.8, 24, 8, 0.9999) == 5
     assert similar.prefix_length(0.8, 24, 8, 0.5) == 8
