@@ -2,7 +2,9 @@
 
 A text is brought to a canonical form in which differences that do not change a
 licence vanish: case, copyright lines, punctuation and layout, and spellings that
-count as equivalent.  Its SHA-256 is joined to the digests of known licences, so
+count as equivalent.  A line that begins with "copyright" stays if licence wording
+follows ("copyright holders", also on the next line), so that wrapping does not
+change a licence.  Its SHA-256 is joined to the digests of known licences, so
 an entire text either is one of them or is not.
 
 Null texts have no digest and match nothing; texts that are empty in canonical
@@ -23,8 +25,11 @@ from pyspark.sql import functions as F
 from plumbline.llm.columns import aside
 from plumbline.llm.licence_texts import KNOWN
 
+# What follows "copyright" within a licence, on whatever line it comes to stand.
+WORDING = ("holders?|owners?|notices?|laws?|licen[sc]e[sd]?|statements?|permissions?|interests?|treaty|treaties|disclaimers?|"
+           "protections?|and|or|in|on")
 #: Lines that name a holder: they differ from copy to copy.
-COPYRIGHT_LINE = r"(?m)^[^a-z0-9\n]*(copyright|\(c\)|©|all rights reserved)[^\n]*$"
+COPYRIGHT_LINE = (rf"(?m)^[^a-z0-9\n]*(copyright(?![a-z])(?![^a-z0-9©]*(?:{WORDING})(?![a-z]))|\(c\)|©|all rights reserved)[^\n]*$")
 # Spellings that count as equivalent.
 SPELLINGS = (
     ("licence", "license"), ("favour", "favor"), ("behaviour", "behavior"), ("organisation", "organization"),

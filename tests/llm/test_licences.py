@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import textwrap
+
 from plumbline.llm import licences, registry
 from plumbline.llm.licence_texts import KNOWN, MIT
 from plumbline.llm.sql import ORACLE_SQL
@@ -33,6 +35,25 @@ def test_every_known_text_is_found(spark):
     assert licences.digests({"b": "Same.", "a": "same", "c": "  "}) == {d: "a" for d in licences.digests({"a": "same"})}
 
 
+def wrapped(text, width):
+    """Every paragraph filled anew; width 0: the whole text on one line."""
+    if not width:
+        return " ".join(text.split())
+    return "\n\n".join(textwrap.fill(" ".join(p.split()), width, break_long_words=False) for p in text.split("\n\n"))
+
+
+def test_layout_does_not_change_a_licence(spark):
+    usual = MIT.replace("THE AUTHORS OR\nCOPYRIGHT HOLDERS", "THE\nAUTHORS OR COPYRIGHT HOLDERS")
+    rows = [("MIT", usual)] + [(name, notice + wrapped(text, width)) for name, text in sorted(KNOWN.items())
+                               for width in (0, 1, 10, 20, 30, 40, *range(60, 121))
+                               for notice in ("", "Copyright (c) 2020 Somebody\n", "copyright The X Authors\nCopyright 1999-2001\n\n")]
+    assert any(line.startswith("COPYRIGHT HOLDER") for _, t in rows for line in t.split("\n"))
+    docs = spark.createDataFrame(rows, "name string, text string")
+    assert [(r.name, r.text) for r in licences.scanned(docs).collect() if r.licence_id != r.name] == []
+    cut = MIT.replace("COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR\n", "")
+    assert cut != MIT and licences.scanned(spark.createDataFrame([(cut,)], "text string")).first().licence_id is None
+
+
 def test_query(spark):
     assert differences(registry.op7_licences(spark, MIDDLE), connect(MIDDLE), ORACLE_SQL["op7_licences"]) == []
 
