@@ -1,10 +1,10 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
-* Words are lower case without ASCII punctuation.  How often each word of the
-  test items occurs is counted over all documents.
-* Seeds are n-grams of an item: in every stretch of ``stretch`` neighbouring
-  n-grams the one whose words are rarest together.  So an edited copy needs only
-  one of many seeds intact, and frequent phrases start no search.
+* Words are lower case without ASCII punctuation.
+* Seeds are the n-grams of an item, all of them by default, so a copy needs no
+  more than n neighbouring words intact.  With a ``stretch`` above 1 only the one
+  whose words are rarest together, counted over all documents, in every stretch of
+  as many neighbouring n-grams is a seed: fewer searches, but heavily edited short copies can be missed.
 * A seed found in a document opens a window of about twice the item's length
   around the place where the item would lie.  Item and window are aligned word
   by word (match +1, mismatch and gap -1); the best local score over the item's
@@ -191,14 +191,14 @@ def _block_seeds(docs: DataFrame, block: Items, n: int, stretch: int, text: str)
     """The block's seeds, by the frequency of its words in all documents."""
     vocabulary, at = np.unique(block.words, return_inverse=True)
     often = np.zeros(len(vocabulary))
-    if len(vocabulary):
+    if len(vocabulary) and stretch > 1:  # of one n-gram there is no choice
         counts = docs.select(F.lower(F.col(f"`{text}`")).alias("text")).mapInArrow(_counts(vocabulary), "word long, n long") \
             .groupBy("word").agg(F.sum("n").alias("n")).toPandas()  # a row for each word of the block at most
         often[counts["word"].to_numpy(int)] = counts["n"].to_numpy()
     return rare_seeds(block, np.log1p(often)[at], n, stretch)
 
 
-def clean(docs: DataFrame, items: DataFrame, n: int = 3, stretch: int = 4, threshold: float = 0.5, least: int = 6,
+def clean(docs: DataFrame, items: DataFrame, n: int = 3, stretch: int = 1, threshold: float = 0.5, least: int = 6,
           block_words: int = 1 << 20, text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """The rows of ``docs`` in which no item is found."""
     out = docs
@@ -208,7 +208,7 @@ def clean(docs: DataFrame, items: DataFrame, n: int = 3, stretch: int = 4, thres
     return out
 
 
-def leaks(docs: DataFrame, items: DataFrame, n: int = 3, stretch: int = 4, threshold: float = 0.5, least: int = 6,
+def leaks(docs: DataFrame, items: DataFrame, n: int = 3, stretch: int = 1, threshold: float = 0.5, least: int = 6,
           block_words: int = 1 << 20, text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """The rows of ``docs`` once for every item found in them, with item_id, score and last_word."""
     spark = docs.sparkSession

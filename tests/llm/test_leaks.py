@@ -82,6 +82,25 @@ def test_edited_copies_are_found_and_clean_texts_are_not(spark, block_words):
     assert {r.doc_id for r in leaks.clean(docs, items, block_words=block_words).collect()} == {10 * k + 5 for k in range(8)} | {900, 901}
 
 
+def test_one_shared_triple_is_enough(spark):
+    """Copies that reach the threshold with few triples intact, against all pairs that share at least one."""
+    rng, items, docs = random.Random(3), [], []
+    for k in range(300):
+        words, keep = [f"i{k}w{j}" for j in range(rng.choice((12, 16, 20)))], rng.randrange(4)
+        items.append((k, " ".join(words)))
+        copy = [w if j % 4 != keep or rng.random() < 0.2 else f"other{k}x{j}" for j, w in enumerate(words)]
+        docs.append((k, f"{prose(k, 30)} {' '.join(copy)} {prose(1000 + k, 30)}"))
+    want = set()
+    for (i, item), (d, text) in zip(items, docs):
+        a, b = plain(item), plain(text)
+        shared = {tuple(a[j:j + 3]) for j in range(len(a) - 2)} & {tuple(b[j:j + 3]) for j in range(len(b) - 2)}
+        if shared and (score := smith_waterman(a, b)) >= 6 and score >= 0.5 * len(a):
+            want.add((d, i))
+    docs, items = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in leaks.leaks(docs, items).collect()} == want and len(want) > 100
+    assert {r.doc_id for r in leaks.clean(docs, items).collect()} == set(range(300)) - {d for d, _ in want}
+
+
 def test_awkward(spark):
     docs = awkward(spark)
     items = docs.filter("doc_id in (8, 9, 14)").selectExpr("doc_id as item_id", "text")
