@@ -1,7 +1,8 @@
 r"""Surrogate generation for personal data and secrets.
 
-Found in a text are e-mail addresses, IPv4 addresses, phone numbers with a
-country code, card numbers, long hexadecimal tokens, and persons (a title or a
+Found in a text are e-mail addresses, IPv4 addresses, phone numbers (9 to 15
+digits with "+" and a country code, or ten grouped ones as in North America, which
+are the same with and without its code), card numbers, long hexadecimal tokens, and persons (a title or a
 known given name before a family name).  Each is replaced by a made-up one of the
 same kind, derived from a secret key and the entity alone:
 
@@ -58,7 +59,13 @@ _GIVEN = "|".join(sorted(n for by in GIVEN.values() for names in by.values() for
 _TITLE = "(?:" + "|".join(sorted(t for ts in TITLES.values() for t in ts)) + r")\.?"
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
 IP = r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})(?![0-9])(?!\.[0-9])"
-PHONE = r"\+[0-9]{1,3}[ .-]?\([0-9]{2,4}\)[ .-]?[0-9]{3,4}[ .-]?[0-9]{4}(?![0-9])"
+# Ten digits of the North American plan, with or without country code, and numbers of 9 to 15 digits with a country code.
+_LOCAL = r"(?:\+?1[-. ]?)?(?:\([0-9]{3}\)[-. ]?|\(?[0-9]{3}\)?[-. ])[0-9]{3}[-. ][0-9]{4}"
+PHONE = (r"\+[0-9]{1,3}[ .-]?\([0-9]{2,4}\)[ .-]?[0-9]{3,4}[ .-]?[0-9]{4}(?![0-9])"
+         rf"|(?<![0-9]){_LOCAL}(?![0-9])|(?<![0-9])\+[0-9](?:[ .-]?\(?[0-9]\)?){{8,14}}(?![0-9])")
+# Country codes have one to three digits and none begins another; "1" may come without "+".
+_COUNTRY = (r"^(?:\+(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
+            r"|1(?=[^0-9]*(?:[0-9][^0-9]*){10}$))")
 CARD = r"(?<![0-9A-Za-z])[0-9]{4}(?:[ -]?[0-9]{4}){3}(?![0-9A-Za-z])"
 TOKEN = r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,64}|[0-9A-F]{32,64})(?![0-9A-Za-z])"
 PERSON = rf"(?<!\p{{L}})(?:{_TITLE} (?:{_NAME} )?{_NAME}|(?:{_GIVEN}) {_NAME})(?!\p{{L}})"
@@ -71,14 +78,16 @@ def _let(value: Column, body) -> Column:
 
 
 def kind_of(entity: Column) -> Column:
-    return (F.when(F.contains(entity, F.lit("@")), "email").when(entity.startswith("+"), "phone")
+    return (F.when(F.contains(entity, F.lit("@")), "email").when(entity.startswith("+") | entity.rlike(f"^{_LOCAL}$"), "phone")
             .when(entity.rlike(r"^[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+$"), "ip").when(entity.rlike("^[0-9A-Fa-f]{32,64}$"), "token")
             .when(entity.rlike("^[0-9 -]+$"), "card").otherwise("name"))
 
 
 def norm_of(entity: Column, kind: Column) -> Column:
     """What makes it the same entity: the family name of a person, the address without case, digits without grouping."""
+    digits = F.regexp_replace(entity, "[^0-9]", "")
     return (F.when(kind == "name", F.regexp_extract(entity, _PARTS, 3)).when(kind.isin("email", "ip"), F.lower(entity))
+            .when((kind == "phone") & ~entity.startswith("+"), F.concat(F.lit("+1"), F.right(digits, F.lit(10))))
             .otherwise(F.lower(F.regexp_replace(entity, "[^0-9A-Za-z+]", ""))))
 
 
@@ -136,8 +145,7 @@ def surrogate(entity: Column, kind: Column, norm: Column, attempt: Column, key:
     longer = F.when(attempt >= LONGER, F.concat(F.lit("x"), attempt.cast("string"))).otherwise("")
     return (F.when(kind == "email", F.concat(longer, _respelled(host, seed, 26), F.regexp_extract(entity, r"(\.[A-Za-z]+)$", 1)))
             .when(kind == "ip", F.concat_ws(".", *octets))
-            .when(kind == "phone", F.concat(F.regexp_extract(entity, r"^\+[0-9]{1,3}", 0),
-                                            _respelled(F.regexp_replace(entity, r"^\+[0-9]{1,3}", ""), seed, 26)))
+            .when(kind == "phone", F.concat(F.regexp_extract(entity, _COUNTRY, 0), _respelled(F.regexp_replace(entity, _COUNTRY, ""), seed, 26)))
             .when(kind == "token", _respelled(entity, seed, 6)).when(kind == "card", _respelled(entity, seed, 26))
             .otherwise(F.concat(_person(entity, seed, key), F.when(attempt >= LONGER, F.repeat(F.lit("o"), attempt - LONGER + 1)).otherwise(""))))
 

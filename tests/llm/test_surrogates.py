@@ -1,10 +1,12 @@
 from __future__ import annotations
 
+import random
 import re
 from collections import defaultdict
 
 from pyspark.sql import functions as F
 
+from plumbline.functions import text
 from plumbline.llm import registry, surrogates
 from tests.conftest import MIDDLE, SMALL
 from tests.llm.rows import awkward, nothing, others_kept
@@ -34,6 +36,32 @@ def test_format_is_kept_and_entities_are_recognised_again(spark):
     assert second[1] == second[2].lower() and second[3] == first[2]
 
 
+PHONES = ["(974) 555-3436", "974-555-3436", "974.555.3436", "974 555 3436", "(974)555-3436", "+1 974-555-3436", "1-974-555-3436",
+          "1.974.555.3436", "+1.974.555.3436", "+1 (974) 555-3436", "(974 555-3436", "974) 555-3436", "+49 30 1234567", "+49 (30) 1234567",
+          "+44 (0)20 7946 0958", "+33 1 23 45 67 89", "+49-30-1234567", "+14155550123", "+4930123456", "+353 1 234 5678"]
+
+
+def test_shapes_of_phone_numbers(spark):
+    out = rewritten(spark, [f"call {p}, or x" for p in PHONES] + [f"({p}) and {p}" for p in PHONES])
+    spelt = lambda t: re.sub(r"\d", "0", t)
+    for p, (once, n), (twice, m) in zip(PHONES, out, out[len(PHONES):]):
+        made = re.fullmatch(r"call (.*), or x", once)[1]
+        assert (n, m) == (1, 2) and spelt(made) == spelt(p) and made != p and twice == f"({made}) and {made}"
+        assert not p.startswith("+") or made[:2] == p[:2]
+    # However it is grouped, with or without North America's code, it is one entity.
+    assert len({re.sub(r"\D", "", t[5:-6])[-10:] for t, _ in out[:12]}) == 1
+    assert out[12][0][:8] == "call +49" and out[19][0][:9] == "call +353" and re.sub(r"\D", "", out[12][0]) == re.sub(r"\D", "", out[13][0])
+
+
+def test_phones_are_those_of_redaction(spark):
+    rng = random.Random(2)
+    shapes = [f"{c}{o}974{e}{a}555{b}3436" for c in ("", "1-", "+1 ", "1.") for o in ("", "(") for e in ("", ")") for a in "-. " for b in "-. "]
+    texts = [re.sub(r"(974|555|3436)", lambda m: "".join(rng.choice("0123456789") for _ in m[0]), s) for s in shapes]
+    docs = spark.createDataFrame([(f"x {t} y",) for t in texts], "text string")
+    assert docs.filter(text.hits(docs["text"], "PHONE") != 1).count() == 0
+    assert surrogates.replaced(docs, "k").filter("n_entities != 1").count() == 0
+
+
 def test_persons(spark):
     [(a, n), (b, _)] = rewritten(spark, ["Mr. Smith and John Smith met Mrs. Mary Jones; Мария Иванова. Frau Greta Müller", "Mary Smith, Ms Jones"])
     found = re.fullmatch(r"Mr\. (\w+) and (\w+) (\w+) met Mrs\. (\w+) (\w+); (\w+) (\w+)\. Frau (\w+) (\w+)", a)
