@@ -11,10 +11,12 @@ same kind, derived from a secret key and the entity alone:
   the surrogate: digits become digits, letters become letters of the same case,
   separators, country code and top-level domain stay.
 * A given name becomes another one of the same gender and script, by a keyed
-  permutation of the known names; a family name becomes a made-up one of the same
-  script; a title stays, and "Mr. X" and "John X" stay one family.
+  permutation of the known names, and one that is not known a made-up one; a family
+  name becomes a made-up one of the same script; a title stays, and "Mr. X" and
+  "John X" stay one family.
 * Different entities get different surrogates, none of which is itself an entity
-  of the documents.  All different entities with their surrogates are checked;
+  of the documents.  All different entities with their surrogates are checked,
+  unknown given names by gender like entities of their own;
   where two meet, all but the first one count their attempt up until none do.
   Addresses and names grow longer where their format has no surrogate left.
   Nearly always there is nothing to do, and documents are rewritten in one pass;
@@ -52,6 +54,9 @@ GIVEN = {
 SYLLABLES = {"Latin": ("ba", "be", "da", "do", "fe", "ga", "ha", "ka", "la", "lo", "ma", "mi", "na", "ra", "so", "ta"),
              "Cyrillic": ("ба", "ве", "га", "да", "зо", "ка", "ла", "ми", "на", "ро", "са", "та", "фе", "ха", "ша", "ле")}
 
+# Endings of made-up given names.
+ENDINGS = {"m": {"Latin": "n", "Cyrillic": "н"}, "f": {"Latin": "lia", "Cyrillic": "лия"}}
+
 LONGER, MOST = 8, 64    # attempts from which surrogates grow, and at which it is an error
 
 _NAME = r"\p{Lu}\p{Ll}+(?:-\p{Lu}\p{Ll}+)?"
@@ -107,9 +112,13 @@ def _respelled(body: Column, seed: Column, letters: int) -> Column:
     return F.when(F.length(body) > 0, F.array_join(F.transform(F.sequence(F.lit(1), F.length(body)), one), "")).otherwise("")
 
 
-def _family(seed: Column, script: str) -> Column:
+def _made_up(seed: Column, script: str, syllables: int = 5) -> Column:
     parts = F.array(*(F.lit(s) for s in SYLLABLES[script]))
-    return F.initcap(F.concat(*(F.get(parts, (_draw(seed, k) % len(SYLLABLES[script])).cast("int")) for k in range(5))))
+    return F.initcap(F.concat(*(F.get(parts, (_draw(seed, k) % len(SYLLABLES[script])).cast("int")) for k in range(syllables))))
+
+
+def _longer(attempt: Column) -> Column:
+    return F.when(attempt >= LONGER, F.repeat(F.lit("o"), attempt - LONGER + 1)).otherwise("")
 
 
 def _given(key: str) -> Column:
@@ -122,22 +131,33 @@ def _given(key: str) -> Column:
     return F.create_map(*(F.lit(x) for pair in pairs for x in pair))
 
 
-def _person(entity: Column, seed: Column, key: str) -> Column:
-    title, given = F.regexp_extract(entity, _PARTS, 1), F.regexp_extract(entity, _PARTS, 2)
-    bare = F.regexp_replace(title, r"[. ]", "")
-    cyrillic = entity.rlike(r"\p{IsCyrillic}")
+def given_kind(entity: Column) -> Column:
+    """Kind of a person's given name if it is not known, otherwise null."""
+    given = F.regexp_extract(entity, _PARTS, 2)
+    known = [n for by in GIVEN.values() for names in by.values() for n in names]
+    female = F.regexp_replace(F.regexp_extract(entity, _PARTS, 1), r"[. ]", "").isin(*TITLES["f"])
+    return F.when((given != "") & ~given.isin(*known), F.when(female, "given f").otherwise("given m"))
+
+
+def given_surrogate(given: Column, kind: Column, attempt: Column, key: str) -> Column:
+    """A made-up given name; with its ending it is none of the known ones."""
+    seed = F.concat_ws("|", F.lit(key), kind, attempt.cast("string"), given)
 
-    def drawn(gender: str) -> Column:
-        names = {s: F.array(*(F.lit(n) for n in GIVEN[gender][s])) for s in SYLLABLES}
-        pick = {s: F.get(names[s], (_draw(F.lit(key), given) % len(GIVEN[gender][s])).cast("int")) for s in SYLLABLES}
-        return F.when(cyrillic, pick["Cyrillic"]).otherwise(pick["Latin"])
+    def drawn(script: str) -> Column:
+        return F.concat(_made_up(seed, script, 4), F.when(kind == "given f", ENDINGS["f"][script]).otherwise(ENDINGS["m"][script]))
 
-    first = F.coalesce(F.try_element_at(_given(key), given), F.when(bare.isin(*TITLES["f"]), drawn("f")).otherwise(drawn("m")))
-    family = F.when(cyrillic, _family(seed, "Cyrillic")).otherwise(_family(seed, "Latin"))
-    return F.concat(title, F.when(given != "", F.concat(first, F.lit(" "))).otherwise(""), family)
+    return F.concat(F.when(given.rlike(r"\p{IsCyrillic}"), drawn("Cyrillic")).otherwise(drawn("Latin")), _longer(attempt))
 
 
-def surrogate(entity: Column, kind: Column, norm: Column, attempt: Column, key: str) -> Column:
+def _person(entity: Column, seed: Column, attempt: Column, given_attempt: Column, key: str) -> Column:
+    title, given, own = (F.regexp_extract(entity, _PARTS, k) for k in (1, 2, 3))
+    first = F.coalesce(F.try_element_at(_given(key), given), given_surrogate(given, given_kind(entity), given_attempt, key))
+    # By the script of the name itself: a title of another script makes no other family.
+    family = F.when(own.rlike(r"\p{IsCyrillic}"), _made_up(seed, "Cyrillic")).otherwise(_made_up(seed, "Latin"))
+    return F.concat(title, F.when(given != "", F.concat(first, F.lit(" "))).otherwise(""), family, _longer(attempt))
+
+
+def surrogate(entity: Column, kind: Column, norm: Column, attempt: Column, given_attempt: Column, key: str) -> Column:
     seed = F.concat_ws("|", F.lit(key), kind, attempt.cast("string"), norm)
     host = F.regexp_extract(entity, r"^(.*)(\.[A-Za-z]+)$", 1)
     octets = [(_draw(seed, k) % (256 if k else 223) + (0 if k else 1)).cast("string") for k in range(4)]
@@ -147,22 +167,31 @@ def surrogate(entity: Column, kind: Column, norm: Column, attempt: Column, key:
             .when(kind == "ip", F.concat_ws(".", *octets))
             .when(kind == "phone", F.concat(F.regexp_extract(entity, _COUNTRY, 0), _respelled(F.regexp_replace(entity, _COUNTRY, ""), seed, 26)))
             .when(kind == "token", _respelled(entity, seed, 6)).when(kind == "card", _respelled(entity, seed, 26))
-            .otherwise(F.concat(_person(entity, seed, key), F.when(attempt >= LONGER, F.repeat(F.lit("o"), attempt - LONGER + 1)).otherwise(""))))
+            .otherwise(_person(entity, seed, attempt, given_attempt, key)))
 
 
 def _found(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0))
 
 
+def _keys(entities: DataFrame, *kept: str) -> DataFrame:
+    """Different (kind, norm) of a column of entities; a person with an unknown given name has two."""
+    entity, kind = F.col("entity"), F.col("kind")
+    own = F.struct(kind.alias("kind"), norm_of(entity, kind).alias("norm"))
+    given = F.when(kind == "name", F.struct(given_kind(entity).alias("kind"), F.regexp_extract(entity, _PARTS, 2).alias("norm")))
+    one = entities.withColumn("kind", kind_of(entity)).select(*kept, F.explode(F.array(own, given)).alias("k"))
+    return one.select(*kept, "k.kind", "k.norm").filter("kind is not null").distinct()
+
+
 def inventory(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Every different entity as (kind, norm)."""
-    one = docs.select(F.explode(F.array_distinct(_found(F.col(f"`{text}`")))).alias("entity")).withColumn("kind", kind_of(F.col("entity")))
-    return one.select("kind", norm_of(F.col("entity"), F.col("kind")).alias("norm")).distinct()
+    """Every different entity, and every unknown given name, as (kind, norm)."""
+    return _keys(docs.select(F.explode(F.array_distinct(_found(F.col(f"`{text}`")))).alias("entity")))
 
 
 def _named(known: DataFrame, key: str) -> DataFrame:
-    made = surrogate(F.col("norm"), F.col("kind"), F.col("norm"), F.col("attempt"), key)
-    return known.withColumn("made", norm_of(made, F.col("kind")))
+    kind, norm, attempt = F.col("kind"), F.col("norm"), F.col("attempt")
+    made = norm_of(surrogate(norm, kind, norm, attempt, F.lit(0), key), kind)
+    return known.withColumn("made", F.when(kind.startswith("given "), given_surrogate(norm, kind, attempt, key)).otherwise(made))
 
 
 def attempts(docs: DataFrame, key: str, text: str = "text") -> DataFrame | None:
@@ -195,8 +224,8 @@ def replaced(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
         tried = lambda kind, norm: F.lit(0)
     else:
         rows = rows.withColumn("_key", F.xxhash64("*"))
-        one = rows.select("_key", F.explode(F.array_distinct(_found(F.col("_text")))).alias("entity")).withColumn("kind", kind_of(F.col("entity")))
-        one = one.select("_key", "kind", norm_of(F.col("entity"), F.col("kind")).alias("norm")).distinct().join(late, ["kind", "norm"])
+        one = rows.select("_key", F.explode(F.array_distinct(_found(F.col("_text")))).alias("entity"))
+        one = _keys(one, "_key").join(late, ["kind", "norm"])
         concerned = one.groupBy(F.col("_key").alias("_of")).agg(F.map_from_entries(F.collect_list(
             F.struct(F.concat_ws("|", "kind", "norm"), "attempt"))).alias("_tried"))
         rows = rows.join(concerned, F.col("_key") == F.col("_of"), "left")
@@ -204,7 +233,7 @@ def replaced(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
 
     def made(entity: Column) -> Column:
         return _let(kind_of(entity), lambda kind: _let(norm_of(entity, kind), lambda norm: surrogate(
-            entity, kind, norm, tried(kind, norm), key)))
+            entity, kind, norm, tried(kind, norm), tried(given_kind(entity), F.regexp_extract(entity, _PARTS, 2)), key)))
 
     rows = rows.withColumn("_found", _found(F.col("_text")))
     gaps = F.split(F.col("_text"), ENTITY, -1)

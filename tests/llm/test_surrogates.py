@@ -71,6 +71,29 @@ def test_persons(spark):
     assert b == f"{found[4]} {found[1]}, Ms {found[5]}"
 
 
+def name(k, end):
+    return "Q" + "".join(chr(97 + k // 26 ** j % 26) for j in range(3)) + end
+
+
+def persons_stay_distinct(spark):
+    names = [f"{t} {name(k, 'u')}" for k in range(120) for t in ("Mr.", "Mrs.")] + [f"Mr. {n}" for n in surrogates.GIVEN["m"]["Latin"]]
+    out = [t for t, _ in rewritten(spark, [f"{n} Khan met {n} Khan" for n in names] + ["Mr. Khan", "Господин Khan"])]
+    pairs = [t.split(" met ") for t in out[:-2]]
+    assert all(a == b and "Khan" not in a for a, b in pairs) and len({a for a, _ in pairs}) == len(names)
+    assert len({t.split(" ")[-1] for t in out}) == 1
+    assert all(a.split(" ")[0] == n.split(" ")[0] for (a, _), n in zip(pairs, names))
+
+
+def test_given_names_stay_distinct(spark):
+    persons_stay_distinct(spark)
+
+
+def test_given_names_that_meet_are_drawn_anew(spark, monkeypatch):
+    draw = surrogates._draw
+    monkeypatch.setattr(surrogates, "_draw", lambda seed, *more: draw(seed, *more) % 4)
+    persons_stay_distinct(spark)
+
+
 def test_what_is_no_entity_stays(spark):
     texts = [None, "", "12345678901234567 1.2.3.4.5 999.1.1.1 a@b +1 974 12-34 deadbeef Maria sang", "x@y@z"]
     assert rewritten(spark, texts) == [(t, 0) for t in texts]
