@@ -1,14 +1,15 @@
-"""N-gram Jaccard join: an LSH forest of MinHash signatures, then exact verification.
+"""N-gram Jaccard join: bands of MinHash values, then exact verification.
 
 A text is the set of its word n-grams (lower case; a text of fewer words is one
 n-gram of all its words).  Two texts are linked if the Jaccard similarity of
 their sets is at least ``threshold``.
 
 * Texts with equal sets are one *set* that has copies; only sets are compared.
-* Each of ``trees`` prefix tries sorts the sets by a signature of MinHash values.
-  Two sets of similarity s share a prefix of k values in some tree with
-  probability 1 - (1 - s ** k) ** trees.  Matched prefixes start at
-  ``longest`` values and are shortened until every link, even one at the
+* Each of ``trees`` signatures of MinHash values is cut to one length and grouped by
+  a hash of it (banding, not a forest: nothing is sorted, and all prefixes of all
+  tables are equally long).  Two sets of similarity s share a prefix of k values in
+  some tree with probability 1 - (1 - s ** k) ** trees.  k is computed from the
+  parameters: the most, up to ``longest``, with which every link, even one at the
   threshold, is found with at least ``recall``.
 * Sets under one prefix are candidates.  They are not paired up: each is tied to
   the least of them, and the components of these ties are verified as wholes.  So
