@@ -6,7 +6,7 @@ last return the columns of ``documents``.
 
 1. language: documents without a letter, or whose language is ambiguous, go.
 2. near_duplicates: of every class of near copies, the document with the least id
-   stays, a single row of it.
+   stays, a single row of it; ids that are null come last.
 3. decontamination: documents that hold a passage of a benchmark item go.
 4. mixing: a row stays as often as the mix takes its document: not at all, or up
    to three times.
@@ -35,10 +35,11 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     links = similar.linked(docs.select("doc_id", "text"))
-    # Of each class the row with the least (id, key); rows without words are no copies of anything.
-    kept = links.filter("set_key is not null").groupBy("class_id").agg(F.min(F.struct(F.col("doc_id"), F.col("row_key"))).alias("first"))
-    kept = written(kept.filter("class_id is not null").select(F.col("first.row_key").alias("_keep"))
-                   .unionByName(links.filter("set_key is null or class_id is null").select(F.col("row_key").alias("_keep"))).distinct(), "kept")
+    # Of each class the row with the least (id, key), null ids last; rows without words are no copies of anything.
+    kept = links.filter("set_key is not null").groupBy("class_key").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key")).alias("first"))
+    kept = written(kept.select(F.col("first.row_key").alias("_keep"))
+                   .unionByName(links.filter("set_key is null").select(F.col("row_key").alias("_keep"))).distinct(), "kept")
     table, name, back = renamed(docs)
     keyed = table.withColumn("_key", similar.row_key(name["doc_id"], name["text"]))
     return keyed.join(kept, F.col("_key") == F.col("_keep"), "left_semi").dropDuplicates(["_key"]).select(*back)

@@ -198,7 +198,10 @@ def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
 
 def linked(docs: DataFrame, n: int = 5, threshold: float = 0.8, trees: int = 24, longest: int = 8, recall: float = 0.9999,
            block_sets: int = 1024, block_ngrams: int = 1 << 20, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(row_key, doc_id, set_key, class_id, n_links) for every row of ``docs``; row_key is a hash of id and text."""
+    """(row_key, doc_id, set_key, class_key, class_id, n_links) for every row of ``docs``.
+
+    row_key is a hash of id and text; class_key names the class and is null for texts without words only.
+    """
     length = prefix_length(threshold, trees, longest, recall)
     body = docs.select(row_key(doc_id, text).alias("row_key"), F.col(f"`{doc_id}`").alias("doc_id"), F.lower(F.col(f"`{text}`")).alias("text"))
     rows = written(body.select("row_key", "doc_id", _sketch(n, trees, length)("text").alias("s"))
@@ -237,8 +240,8 @@ def linked(docs: DataFrame, n: int = 5, threshold: float = 0.8, trees: int = 24,
                        (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")))
     classed = written(classed, "similar-classes")
     least = written(classed.groupBy(F.col("root").alias("r")).agg(F.min("doc_id").alias("class_id")), "similar-least")
-    of_set = written(classed.join(least, F.col("root") == F.col("r")).select(F.col("set_key").alias("k"), "class_id", "n_links"),
+    of_set = written(classed.join(least, F.col("root") == F.col("r")).select(F.col("set_key").alias("k"), F.col("root").alias("class_key"), "class_id", "n_links"),
                      "similar-of-set")
     return rows.join(of_set, F.col("set_key") == F.col("k"), "left").select(
-        "row_key", "doc_id", "set_key", F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+        "row_key", "doc_id", "set_key", "class_key", F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))

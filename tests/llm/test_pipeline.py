@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from plumbline.session import written
 from tests.conftest import MIDDLE
-from tests.llm.rows import awkward, nothing
+from tests.llm.rows import awkward, nothing, prose
 from tests.llm.test_leaks import plain, smith_waterman
 from tests.llm.test_mixing import water_level
 from tests.llm.test_sharding import laws
@@ -76,6 +76,14 @@ def test_run_is_the_stages(spark, steps):
     assert rows(corpus_pipeline.run(spark, MIDDLE)) == rows(steps[5])
 
 
+def test_one_of_each_class_stays_without_ids(spark):
+    texts = [prose(k, 120) for k in range(3)]
+    rows = [(i, v) for i, t in ((None, texts[0]), (7, texts[1])) for v in (t, t.upper(), t + " end")] + [(None, texts[1] + " more"), (None, texts[2]), (None, None)]
+    kept = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), MIDDLE).collect()
+    assert sorted(str((r.doc_id, (r.text or "").lower()[:40])) for r in kept) == sorted(
+        str(x) for x in ((None, texts[0][:40]), (7, texts[1][:40]), (None, texts[2][:40]), (None, "")))
+
+
 def test_awkward(spark):
     for docs in (awkward(spark), nothing(spark)):
         docs, before = written(docs, "awkward"), docs.columns
