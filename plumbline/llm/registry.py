@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import langid, leaks, licences, mixing, pseudolm, quality, repeats, sharding, similar, surrogates
+from plumbline.llm import langid, leaks, licences, mixing, periods, pseudolm, quality, repeats, sharding, similar, surrogates
 from plumbline.llm.sql import ORACLE_SQL as ORACLE_SQL
 
 
@@ -77,6 +77,34 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
 
 
+def planted(docs: DataFrame) -> DataFrame:
+    """(doc_id, text); a tenth of the texts, chosen by doc_id, repeat a stretch of their words up to the end."""
+    code = F.crc32(F.col("doc_id").cast("string"))
+    salt = F.floor(code / 10)
+
+    def cycled(words):
+        n = F.size(words)
+        at = F.pmod(salt, n).cast("int")
+        period = (F.lit(1) + F.floor((n - at) / (F.lit(3) + salt % 8))).cast("int")
+        times = (F.floor((n - at) / period) + 1).cast("int")
+        tail = F.flatten(F.array_repeat(F.slice(words, at + 1, period), times))
+        return F.when(n > 0, F.array_join(F.slice(F.concat(F.slice(words, F.lit(1), at), tail), F.lit(1), n), " "))
+
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    changed = F.transform(F.array(words), cycled)[0]  # the lambda evaluates the words once
+    return docs.select("doc_id", F.when(code % 10 == 0, changed).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periods.periodic(planted(documents(spark, sf_dir)))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r.length.alias("length"), (-r.start).alias("before"), (-r.period).alias("finer"))))
+    lines = F.transform("runs", lambda r: F.concat(r.start, F.lit(","), r.length, F.lit(","), r.period, F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.before")).alias("start"), F.col("best.length").alias("length"),
+        (-F.col("best.finer")).alias("period"), F.expr("1000 * best.length div -best.finer").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_similar": op2_similar,
@@ -88,4 +116,5 @@ QUERIES = {
     "op8_repeats": op8_repeats,
     "op9_leaks": op9_leaks,
     "op10_langid": op10_langid,
+    "op12_periods": op12_periods,
 }
