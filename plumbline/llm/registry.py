@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import langid, leaks, licences, mixing, periods, pseudolm, quality, repeats, sharding, similar, surrogates
+from plumbline.llm import langid, leaks, licences, mixing, periods, phrases, pseudolm, quality, repeats, sharding, similar, surrogates
 from plumbline.llm.sql import ORACLE_SQL as ORACLE_SQL
 
 
@@ -77,6 +77,10 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(documents(spark, sf_dir).select("text", "lang"))
+
+
 def planted(docs: DataFrame) -> DataFrame:
     """(doc_id, text); a tenth of the texts, chosen by doc_id, repeat a stretch of their words up to the end."""
     code = F.crc32(F.col("doc_id").cast("string"))
@@ -116,5 +120,6 @@ QUERIES = {
     "op8_repeats": op8_repeats,
     "op9_leaks": op9_leaks,
     "op10_langid": op10_langid,
+    "op11_phrases": op11_phrases,
     "op12_periods": op12_periods,
 }

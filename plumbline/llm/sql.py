@@ -26,6 +26,30 @@ from b
 """
 
 
+PHRASES = r"""
+with d as (select row_number() over () as r, coalesce(lang, 'und') as lang,
+                  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents),
+p as (select lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) as p from d),
+w as (select row_number() over () as r, lang, regexp_extract_all(p, '[^\x20\x09]+') as ws from p),
+i as (select r, lang, ws, unnest(generate_series(1, len(ws))) as i from w),
+g as (select lang, k, array_to_string(ws[i:i + k - 1], ' ') as phrase from i, (values (1), (2), (3), (4), (5)) as v(k) where i + k - 1 <= len(ws)),
+f as (select lang, k, phrase, count(*) as a from g group by all),
+n as (select lang, sum(a)::bigint as n from f where k = 1 group by lang),
+c as (select *, string_split(phrase, ' ') as ws from f where k > 1 and a >= 100),
+inner_ as (select lang, array_to_string(ws[b:b + s - 1], ' ') as phrase, max(a) as most
+           from c, (values (2), (3), (4)) as v(s), (values (1), (2), (3), (4)) as u(b) where s < k and b + s - 1 <= k group by all),
+alone as (select c.* from c left join inner_ using (lang, phrase) where most is null or 100 * most < 100 * c.a),
+cut as (select lang, phrase, a, ws, k, unnest(generate_series(1, k - 1)) as c from alone),
+s as (select cut.lang, cut.phrase, cut.a, c, l.a as l, x.a as r, n,
+             ((1000::hugeint * cut.a * n) // (l.a::hugeint * x.a))::bigint as score
+      from cut join f l on l.lang = cut.lang and l.phrase = array_to_string(cut.ws[1:c], ' ')
+      join f x on x.lang = cut.lang and x.phrase = array_to_string(cut.ws[c + 1:cut.k], ' ') join n on n.lang = cut.lang),
+b as (select * from s qualify row_number() over (partition by lang, phrase order by score, c) = 1)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n, score
+from b qualify rank <= 2000
+"""
+
+
 def _licences() -> str:
     form = "trim(regexp_replace(regexp_replace(lower(text), '(?m)^[^a-z0-9\\n]*(copyright|\\(c\\)|©|all rights reserved)[^\\n]*$', '', 'g')," \
            " '[^\\p{L}\\p{N}]+', ' ', 'g'))"
@@ -39,4 +63,5 @@ def _licences() -> str:
 ORACLE_SQL = {
     "op5_quality": QUALITY,
     "op7_licences": _licences(),
+    "op11_phrases": PHRASES,
 }
