@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import langid, leaks, licences, mixing, periods, phrases, pseudolm, quality, repeats, sharding, similar, surrogates
+from plumbline.llm import langid, leaks, licences, mixing, periods, phrases, pseudolm, quality, repeats, sharding, similar, surrogates, toxicity
 from plumbline.llm.sql import ORACLE_SQL as ORACLE_SQL
 
 
@@ -109,6 +109,16 @@ def op12_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    learn = docs.filter(F.crc32(F.col("doc_id").cast("string")) % 5 != 0)
+    marks = labels.filter(F.crc32(F.col("doc_id").cast("string")) % 5 != 0)
+    model = toxicity.trained(learn, marks, toxicity.letters(docs))
+    return toxicity.scored(docs.select("doc_id", "text", held_out().alias("held_out")), model) \
+        .select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_similar": op2_similar,
@@ -122,4 +132,5 @@ QUERIES = {
     "op10_langid": op10_langid,
     "op11_phrases": op11_phrases,
     "op12_periods": op12_periods,
+    "op13_toxicity": op13_toxicity,
 }

@@ -1,0 +1,174 @@
+import itertools
+import random
+import re
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from plumbline.llm import registry, toxicity as t
+from plumbline.llm.words import text_bytes
+from tests.conftest import MIDDLE
+from tests.llm.rows import awkward, nothing, others_kept
+
+RUDE = ["trash", "pathetic", "idiot", "disgusting", "worthless", "stupid", "clown", "loser", "scum", "moron"]
+PLAIN = ("the weather was mild and people were walking along the river while children played near old houses and gardens "
+         "some talked about music others about work travel books or what to cook for dinner this evening").split()
+
+
+def code(doc_id):
+    return zlib.crc32(str(doc_id).encode())
+
+
+def arrays(texts):
+    return text_bytes(pa.array(texts))
+
+
+def model_of(texts):
+    return t.letters_from(t.symbol_counts(*arrays(texts)))
+
+
+@pytest.fixture(scope="module")
+def letters():
+    rng = random.Random(2)
+    return model_of([" ".join(rng.choices(PLAIN + RUDE, k=40)) for _ in range(400)])
+
+
+def disguised(word, rng):
+    way = rng.choice("swap spaced marked longer doubled masked".split())
+    swap = {c: [k for k, v in t.LOOKALIKES.items() if c in v] for c in "abcdefghijklmnopqrstuvwxyz"}
+    if way == "swap":
+        at = rng.choice([i for i, c in enumerate(word) if swap[c] and i])
+        return word[:at] + rng.choice(swap[word[at]]) + word[at + 1:]
+    if way == "spaced":
+        return " ".join(word)
+    if way == "marked":
+        return rng.choice(".-_").join(word)
+    if way == "longer":
+        at = rng.randrange(len(word))
+        return word[:at] + word[at] * rng.randrange(3, 9) + word[at + 1:]
+    if way == "doubled":
+        return "".join(c * 2 for c in word)
+    at = rng.choice([i for i, c in enumerate(word) if c in "aeiou"])
+    return word[:at] + "*" + word[at + 1:]
+
+
+def restored(letters, texts):
+    body, offsets = t.Restorer(letters).portion(*arrays([x.lower() for x in texts]))
+    whole = body.tobytes()
+    return [whole[a:b].decode() for a, b in zip(offsets[:-1], offsets[1:])]
+
+
+def test_symbol_counts_equal_plain_loop():
+    texts = ["Ab, (cd) e", "ñu \"x\" a1b ... !!", "", "aa aa", "é"]
+    expected = np.zeros((t.SYMBOLS,) * t.ORDER, int)
+    for text in texts:
+        for word in re.findall(r"[^\x20\x09-\x0D]+", text):
+            word = word.strip("\"'`()[]{}<>.,;:!?#%*-_~/\\^&=").lower()
+            if word and all(c.isalpha() for c in word):
+                codes = [t.EDGE] * 3 + [ord(c) - 97 if c.isascii() else t.OTHER for c in word] + [t.EDGE]
+                for k in range(len(codes) - 3):
+                    expected[tuple(codes[k:k + 4])] += 1
+    assert (t.symbol_counts(*arrays(texts)) == expected.ravel()).all()
+
+
+def test_best_path_equals_all_paths(letters):
+    table = letters.table()
+
+    def total(path):
+        score, x, read = 0.0, t.START, ""
+        for said, cost in path:
+            score += cost
+            for c in said:
+                s = t.EDGE if c == " " else ord(c) - 97 if "a" <= c <= "z" else t.OTHER
+                score += table[x][s]
+                x = t.START if s == t.EDGE else (x * t.SYMBOLS + s) % t.CONTEXTS
+            read += said
+        return score + (table[x][t.EDGE] if x != t.START else 0), read.strip()
+
+    for unit, spaced in (("1d10t", False), ("i d i 0 t", True), ("m0rr0n", False), ("$cuum", False), ("a.t.a", True), ("ñ1a", False)):
+        best = max(total(p) for p in itertools.product(*t.lattice(unit, spaced)))[1]
+        assert t.decoded(unit, spaced, table) == best
+
+
+def test_disguises_are_undone(letters):
+    rng = random.Random(8)
+    cases = [(w, disguised(w, rng)) for w in RUDE * 30]
+    found = restored(letters, [f"the river {d} was mild." for _, d in cases])
+    good = sum(f == f"the river {w} was mild." for (w, _), f in zip(cases, found))
+    assert good >= 0.95 * len(cases), [(d, f) for (w, d), f in zip(cases, found) if w not in f]
+    assert restored(letters, ["you are t r a s h, okay", "Idi0t!!! (5tup1d) l-o-s-e-r"])[1] == "idiot!!! (stupid) loser"
+
+
+def test_plain_texts_stay(letters):
+    texts = ["The weather, 12:30 on 5.5.2020 -- e.g. \"good\" ## a * b = c", "well-known letter, coffee bookkeeper", "", "x 1 2 3", "€$ 100% ***"]
+    assert restored(letters, texts) == [x.lower() for x in texts]
+
+
+def test_planted_toxic_documents(spark, tmp_path):
+    """Words seen openly in training are caught in disguise, in documents that did not train."""
+    rng = random.Random(11)
+    docs, marks, planted = [], [], set()
+    for i in range(3000):
+        words = rng.choices(PLAIN, k=rng.randrange(5, 80))
+        if rng.random() < 0.2:
+            learns = code(i) % 5 != 0
+            for _ in range(3):
+                w = rng.choice(RUDE)
+                words.insert(rng.randrange(len(words)), w if learns else disguised(w, rng))
+            planted.add(i)
+        docs.append((i, " ".join(words), "en"))
+        marks.append((i, 1, int(i in planted)))
+    spark.createDataFrame(docs, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(marks, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    rows = registry.op13_toxicity(spark, str(tmp_path)).collect()
+    assert len(rows) == 3000 and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in rows)
+    held = [r for r in rows if r.held_out]
+    assert {r.doc_id for r in held} == {i for i in range(3000) if code(i) % 5 == 0}
+    toxic = [r for r in held if r.doc_id in planted]
+    assert sum(r.predicted for r in toxic) >= 0.97 * len(toxic)
+    assert sum(r.predicted for r in held if r.doc_id not in planted) <= 2
+
+
+def test_held_out_accuracy(spark):
+    sf = MIDDLE.replace("sf0.01", "sf0.1")
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    held = [(r.score, labels[r.doc_id]) for r in registry.op13_toxicity(spark, sf).collect() if r.held_out and r.doc_id in labels]
+    toxic, clean = [s for s, y in held if y], [s for s, y in held if not y]
+    assert sum(s >= 0.5 for s in toxic) >= 0.75 * len(toxic)  # a tenth of the labels has no ground in the text
+    assert sum(s >= 0.5 for s in clean) <= 0.02 * len(clean)
+    assert sum(a > b for a in toxic for b in clean) >= 0.95 * len(toxic) * len(clean)
+
+
+def test_slope_is_zero_at_the_fit():
+    rng = np.random.default_rng(0)
+    there = rng.random((300, 5)) < 0.4
+    label = (rng.random(300) < 1 / (1 + np.exp(-(there @ np.array([2, -1, 0.5, 0, 1]) - 1)))).astype(float)
+    row, column = np.nonzero(there)
+    weights, bias = t.fitted(row, column, label, 5, rounds=3000)
+    miss = 1 / (1 + np.exp(-(there @ weights + bias))) - label
+    assert np.abs(there.T @ miss + 0.3 * weights).max() < 0.05 and abs(miss.sum()) < 0.05
+
+
+def test_awkward_rows(spark, letters):
+    docs = awkward(spark)
+    labels = spark.createDataFrame([(1, 1), (8, 1), (8, 0), (9, 0), (None, 1), (10, None), (11, 5), (12, 0)], "doc_id long, toxic int")
+    for marks in (labels, labels.filter("toxic = 1"), labels.limit(0)):
+        model = t.trained(docs, marks, t.letters(docs))
+        found = t.scored(docs, model)
+        assert others_kept(docs, found, "score")
+        rows = found.collect()
+        assert all(0 <= r.score <= 1 for r in rows)
+        assert len({r.score for r in rows if not (r.text or "").strip()}) == 1
+    found = t.restored(docs, letters)
+    assert others_kept(docs, found) and all(r.restored is not None for r in found.collect())
+    empty = nothing(spark)
+    assert t.scored(empty, t.trained(empty, labels, t.letters(empty))).count() == 0
+    assert t.restored(empty, letters).count() == 0
+
+
+def test_one_text_of_megabytes(spark, letters):
+    text = "the river " * 200_000 + "1d10t " + "a" * 1_000_000 + " " + "ab1" * 20_000
+    row = t.restored(spark.createDataFrame([(text,)], "text string"), letters).first()
+    assert row.restored.startswith("the river " * 200_000 + "idiot a")
