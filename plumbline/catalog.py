@@ -11,12 +11,13 @@ from pyspark.sql.window import Window
 
 from plumbline.functions import metrics as m
 from plumbline.functions import text
-from plumbline.operators import cooldown, references, updates
+from plumbline.operators import changes, cooldown, references, updates
 from plumbline.plans import alerts, enrich, root_cause, semantic, validate
 from plumbline.plans import shop_monitors as monitors
 from plumbline.session import shared_folder, written
 from plumbline.sources import shop
 from plumbline.sources.shop import AS_OF, given, raw
+from plumbline.streaming.measured_table import MeasuredTable
 from plumbline.streaming.monitor_stream import AlertStream, MonitorStream
 from plumbline.streaming.validated_stream import ValidatedTable
 
@@ -411,6 +412,38 @@ def stream_validated(spark, d):
     return table.read()
 
 
+# -- updates and deletes: two versions of the raw orders, the second after a script of statements ---
+
+def versions(spark, d):
+    before = orders(spark, d)
+    return before, shop.updated_orders(before)
+
+
+@query
+def captured_changes(spark, d):
+    """How many rows, copies counted, came and went."""
+    net = changes.captured(*versions(spark, d))
+    kind = F.when(F.col("change") > 0, "came").otherwise("went")
+    return net.groupBy(kind.alias("kind")).agg(F.sum(F.abs("change")).alias("copies"), F.count("*").alias("different_rows"))
+
+
+@query
+def validated_after_updates(spark, d):
+    before, after = versions(spark, d)
+    table = ValidatedTable(spark, shared_folder(spark, "validated"))
+    table.initialize(before)
+    table.change(changes.captured(before, after), after, 0)
+    return table.read()
+
+
+@query
+def metrics_after_updates(spark, d):
+    before, after = versions(spark, d)
+    table = MeasuredTable(spark, monitors.orders_monitor(), shared_folder(spark, "measured"))
+    table.initialize(before, AS_OF)
+    return table.change(changes.captured(before, after), after, AS_OF, 1)
+
+
 @query
 def refresh_history(spark, d):
     """The attempts at building the table from one region and then refreshing it with everything."""

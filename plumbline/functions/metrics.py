@@ -24,6 +24,7 @@ class Part:
     merge: str                      # "sum", "max" or "keys"
     column: Column | None = None    # the aggregate, for "sum" and "max"
     keys: tuple[str, ...] = ()      # the key columns, for "keys"
+    value: Column | None = None     # each row's value, for "max"; without it rows can't be taken back
 
     def aggregate(self) -> Column:
         return F.count_distinct(*[F.col(k) for k in self.keys]) if self.merge == "keys" else self.column
@@ -99,7 +100,7 @@ DUPLICATE_COUNT = Metric(
 # Seconds from the newest value to the moment of measurement.
 FRESHNESS = Metric(
     "FRESHNESS", ("any",),
-    lambda c: [Part("max", F.max(F.col(c).cast("timestamp_ntz")))],
+    lambda c: [Part("max", F.max(F.col(c).cast("timestamp_ntz")), value=F.col(c).cast("timestamp_ntz"))],
     lambda p, as_of: F.timestamp_diff("SECOND", p[0], as_of))
 
 NEGATIVE_TOTAL_COUNT = counting("NEGATIVE_TOTAL_COUNT", ["double"], lambda c: c < 0)

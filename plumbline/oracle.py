@@ -78,6 +78,21 @@ def _orders(source: str) -> str:
 _COPIES, _MADE = _orders("select o_orderkey as k, o_custkey as custkey, cast(o_orderdate as date) as day from orders")
 
 
+def _updated(rows: str) -> str:
+    """The rows of a table of orders after the statements of ``shop.updated_orders``."""
+    def d(salt: int) -> str:
+        return draw_sql(shop.KEY_OF_ORDER, salt, 100)
+
+    other = "product_id, quantity, unit_price"
+    rest = "shipping_address, region, customer_notes"
+    return f"""{rows}_changed as (select order_id, case when {d(84)} >= 1 then customer_id end as customer_id, {other},
+      case when {d(83)} < 2 then -order_total else order_total end as order_total,
+      case when {d(85)} < 2 and status <> '{shop.LATE_COPY}' then order_date + 3 else order_date end as order_date, status, {rest}
+    from {rows} where not ({d(81)} < 3 and status <> '{shop.LATE_COPY}') and {d(82)} >= 2 and order_date <= date '{shop.CLOSED_AFTER}'),
+{rows}_updated as (select * from {rows}_changed union all
+    select order_id, customer_id, {other}, order_total, order_date - 2, '{shop.RESTATED}', {rest} from {rows}_changed where {d(86)} < 1)"""
+
+
 def _c(salt: int, n: int) -> str:
     return draw_sql("c_custkey", salt, n)
 
@@ -156,6 +171,12 @@ def _on_orders(body: str) -> str:
     return _with([_ORDERS], body)
 
 
+def _on_updated(*more: str, body: str) -> str:
+    """``raw_orders`` stands for the orders after the updates."""
+    return _with([f"made as ({_MADE}), raw_first as ({_COPIES})", _updated("raw_first"),
+                  "raw_orders as (select * from raw_first_updated)", *more], body)
+
+
 def _on_validated(body: str) -> str:
     return _with([_ORDERS, _CUSTOMERS, _VALIDATED], body)
 
@@ -497,6 +518,12 @@ def oracle_sql() -> dict[str, str]:
         "refresh_history": "select * from (values (1::bigint, 'shop.clean.validated_orders', 'SUCCEEDED', 1), "
                            "(2::bigint, 'shop.clean.validated_orders', 'SUCCEEDED', 1)) as v(position, name, state, attempt)",
     }
+    queries["captured_changes"] = _on_updated(body=f"""
+        select case when n > 0 then 'came' else 'went' end as kind, {_big("sum(abs(n))")} as copies, count(*) as different_rows
+        from (select * exclude (v), sum(v) as n from (select *, 1 as v from raw_orders union all select *, -1 as v from raw_first) group by all)
+        where n <> 0 group by 1""")
+    queries["validated_after_updates"] = _on_updated(_CUSTOMERS, _VALIDATED, body="select * from validated")
+    queries["metrics_after_updates"] = _on_updated(body=_measured("raw_orders", "orders", _ORDER_METRICS, AS_OF))
     queries["stream_validated"] = queries["validated_orders"]
     queries["stream_metrics"] = queries["dq_orders_all"]
     queries["stream_alerts"] = queries["alerts_cooldown"]

@@ -158,6 +158,30 @@ def loaded_shipments_from(source: DataFrame) -> DataFrame:
         pick(k, 52, SHIPMENT_STATUSES).alias("status"))
 
 
+# ---- fixed values -----------------------------------------------------------
+KEY_OF_ORDER = "cast(substring(order_id, 5) as bigint)"
+CLOSED_AFTER = "1998-07-25"
+RESTATED = "RESTATED"
+# -----------------------------------------------------------------------------
+
+
+def updated_orders(orders: DataFrame) -> DataFrame:
+    """The raw orders after a script of DELETE, UPDATE and INSERT statements:
+    originals whose late copies stay, whole orders and the last days go; totals,
+    customers and dates change; some orders are stated again with an earlier date."""
+    def drawn(salt: int, below: int) -> Column:
+        return draw(KEY_OF_ORDER, salt, 100) < below
+
+    original = F.col("status") != LATE_COPY
+    left = orders.filter(~(drawn(81, 3) & original) & ~drawn(82, 2) & (F.col("order_date") <= F.lit(CLOSED_AFTER).cast("date")))
+    changed = left.withColumns({
+        "order_total": F.when(drawn(83, 2), -F.col("order_total")).otherwise(F.col("order_total")),
+        "customer_id": F.when(~drawn(84, 1), F.col("customer_id")),
+        "order_date": F.when(drawn(85, 2) & original, F.date_add("order_date", 3)).otherwise(F.col("order_date"))})
+    again = changed.filter(drawn(86, 1)).withColumns({"order_date": F.date_sub("order_date", 2), "status": F.lit(RESTATED)})
+    return schemas.conform(changed.unionByName(again), schemas.ORDERS)
+
+
 _DERIVED = {
     "orders": ("orders", orders_from),
     "customers": ("customer", customers_from),

@@ -6,6 +6,9 @@ to a change log, without looking at the table; a copy that arrives late with an
 earlier date still wins.  Reading merges base and changes by the same minimum,
 and ``compact`` folds the changes into a new base.  The cost of a refresh grows
 with what changed, not with the table.
+
+Rows that go can take the earliest copy with them.  ``change`` then voids what
+the table knows of the key (``resets``) and reads that key, and no other, again.
 """
 
 from __future__ import annotations
@@ -19,14 +22,17 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from plumbline.functions.metrics import moment
+from plumbline.operators.changes import CHANGE, lost_keys, of_keys, same
 from plumbline.operators.dedup import merge_first
 from plumbline.plans.validate import validated_orders
+from plumbline.session import written
 from plumbline.sources import schemas
 from plumbline.sources.storage import BatchLog, VersionedTable
 
 VALIDATED = T.StructType([*schemas.ORDERS.fields,
                           T.StructField("quality_score", T.IntegerType()),
                           T.StructField("quality_status", T.StringType())])
+KEY, EARLIEST = "order_id", "order_date"
 TARGET_LAG = "1 minute"
 # Batches between two compactions: a day at the usual lag.
 COMPACT_EVERY = 1440
@@ -47,6 +53,7 @@ class ValidatedTable:
         self.spark, self.folder, self.name, self.compact_every = spark, folder.rstrip("/"), name, compact_every
         self.base = VersionedTable(spark, f"{self.folder}/base", VALIDATED)
         self.changes = BatchLog(spark, f"{self.folder}/changes", VALIDATED)
+        self.resets = BatchLog(spark, f"{self.folder}/resets", T.StructType([T.StructField(KEY, T.StringType())]))
         self.refreshes = BatchLog(spark, f"{self.folder}/refreshes", schemas.REFRESHES)
 
     # -- writing -----------------------------------------------------------------
@@ -62,6 +69,22 @@ class ValidatedTable:
         if batch_id and batch_id % self.compact_every == 0:
             self.compact(batch_id - 1)
 
+    def change(self, changes: DataFrame, orders: DataFrame, batch_id: int) -> None:
+        """Follow net changes of the raw orders (``operators.changes``), among them
+        rows that were updated, deleted or truncated.  ``orders`` is the raw
+        table after them; only keys whose row in this table went are read from it."""
+        def work() -> None:
+            changed = written(changes, "changes")
+            raw = schemas.ORDERS.fieldNames()
+            known = of_keys(self._merged(batch_id - 1), changed.filter(F.col(CHANGE) < 0), KEY)
+            lost = written(lost_keys(known.select(*raw), changed, KEY, raw).distinct(), "lost-keys")
+            came = of_keys(changed.filter(F.col(CHANGE) > 0).select(*raw), lost, KEY, "left_anti")
+            again = of_keys(orders.select(*raw), lost, KEY)
+            # Voided first would be missing from the table until the rows are there.
+            self.changes.write(validated_orders(came.unionByName(again)), batch_id)
+            self.resets.write(lost, batch_id)
+        self._noted(batch_id, work)
+
     def _noted(self, batch_id: int, work: Callable[[], object]) -> None:
         """Run ``work``; every attempt at a batch leaves a row of its own."""
         attempt, started = self.refreshes.batch(batch_id).count() + 1, now()
@@ -93,6 +116,7 @@ class ValidatedTable:
         covered = self.base.current()[1]
         version = self.base.publish(self._merged(through_batch), through_batch)
         self.changes.retire(covered + 1, covered + 1 - self.compact_every)
+        self.resets.retire(covered + 1, covered + 1 - self.compact_every)
         self.base.retire()
         return version
 
@@ -100,10 +124,14 @@ class ValidatedTable:
 
     def _merged(self, through_batch: int | None = None) -> DataFrame:
         _, covered = self.base.current()
-        changes = self.changes.read().filter(F.col("batch_id") > covered)
+        changes, resets = (log.read().filter(F.col("batch_id") > covered) for log in (self.changes, self.resets))
         if through_batch is not None:
-            changes = changes.filter(F.col("batch_id") <= through_batch)
-        return merge_first(self.base.read(), changes.drop("batch_id"), "order_id", "order_date")
+            changes, resets = (log.filter(F.col("batch_id") <= through_batch) for log in (changes, resets))
+        # What was known of a key before its last reset counts no more.
+        since = resets.groupBy(KEY).agg(F.max("batch_id").alias("since"))
+        base = of_keys(self.base.read(), since, KEY, "left_anti")
+        changes = changes.alias("l").join(since.alias("r"), same("l", "r", [KEY]) & (F.col("batch_id") < F.col("since")), "left_anti")
+        return merge_first(base, changes.drop("batch_id"), KEY, EARLIEST)
 
     def read(self) -> DataFrame:
         return self._merged()
