@@ -4,7 +4,8 @@ The rule is sequential: whether a violation is sent depends on the alert before
 it.  A fold over all violations of a key would put that key into one task.  Here
 the timeline of every key is cut into segments that are worked on in parallel.
 Segments are spans of time: the distinct moments of one key within ``fan_in``
-cooldowns meet in one task, and nothing divides them further.
+cooldowns meet in one task.  Keys with more than ``crowd`` rows in one of them go
+by pointers instead (``operators.crowded``), which divides them by rows.
 
 What happens inside a segment depends on the past only through one number, the
 first moment at which an alert may be sent again.  So a segment is summarised by
@@ -28,6 +29,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from plumbline.operators import crowded
+from plumbline.session import written
+
 EVER = -(2**60)         # alerts are allowed from the start
 EPOCH = "1970-01-01 00:00:00"
 EXACT = {"timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}
@@ -152,7 +156,7 @@ def walk(rows: pa.Table, lanes: Lanes, pause: int) -> pa.RecordBatch:
 
 
 def alerts_with_cooldown(violations: DataFrame, keys: Sequence[str], ts: str, cooldown: timedelta,
-                         last_sent: DataFrame | None = None, fan_in: int = 32) -> DataFrame:
+                         last_sent: DataFrame | None = None, fan_in: int = 32, crowd: int = 1 << 20) -> DataFrame:
     """``keys`` and ``ts`` of the alerts sent.  ``last_sent`` holds, for some of
     the keys, the newest alert of earlier runs in a column ``ts``."""
     keys = list(keys)
@@ -194,19 +198,29 @@ def alerts_with_cooldown(violations: DataFrame, keys: Sequence[str], ts: str, co
         entered = segments.join(entries.select("label", segment(width), "allowed"), ["label", "segment"])
         return entered.drop("segment").sortWithinPartitions("upto").mapInArrow(downwards(width), entry_schema)
 
+    rows = violations.select(label, _micros(F.col(ts)).alias("upto")).dropna(subset=["upto"])
+    full = rows.groupBy("label", segment(short)).agg(F.count("*").alias("n")).filter(F.col("n") > crowd)
+    crowds = full.select("label").distinct().collect()  # at most one for ``crowd`` rows
     # Equal moments of a key are one violation; tasks drop them before the
     # shuffle, so a segment holds at most its number of distinct moments.
-    events = violations.select(label, _micros(F.col(ts)).alias("upto")).dropna(subset=["upto"]).distinct()
+    events = rows.distinct()
     if last_sent is not None:
         # What is too close to an earlier alert is not sent; the rest starts anew.
         earlier = last_sent.groupBy(label).agg((F.max(_micros(F.col(ts))) + pause).alias("allowed"))
         events = (events.join(earlier, "label", "left")
                   .filter("allowed is null or upto >= allowed").drop("allowed"))
+    pointed = None
+    if crowds:
+        names = written(violations.sparkSession.createDataFrame(crowds, "label string"), "crowds")
+        pointed = crowded.alerts(events.join(names, "label", "left_semi"), pause)
+        events = events.join(names, "label", "left_anti")
     in_short = by_segment(events, short)
     in_long = by_segment(summaries(in_short, short), long)
     overview = summaries(in_long, long).repartition("label").withColumn("allowed", F.lit(EVER))
     entries = overview.sortWithinPartitions("label", "upto").mapInArrow(downwards(None), entry_schema)
     sent = resolve(in_short, resolve(in_long, entries, long), short)
+    if pointed is not None:
+        sent = sent.select("label", "upto").unionByName(pointed)
 
     key_type = T.StructType([T.StructField(k, violations.schema[k].dataType) for k in keys])
     return sent.select(F.from_json("label", key_type, EXACT).alias("key"), _moment(F.col("upto")).alias(ts)).select("key.*", ts)

@@ -8,6 +8,7 @@ from random import Random
 
 import pytest
 
+from plumbline.operators import crowded
 from plumbline.operators.cooldown import alerts_with_cooldown
 
 START = datetime(1969, 12, 1)       # moments before 1970 are negative numbers
@@ -79,3 +80,39 @@ def test_continues_from_earlier_alerts(spark, seed):
 
 def test_nothing_to_send(spark):
     assert run(spark, [], timedelta(hours=1)) == set()
+
+
+@pytest.mark.parametrize("seed, crowd", [(0, 0), (1, 30), (2, 0)])
+def test_crowded_keys(spark, seed, crowd):
+    """All keys by pointers, or only those with many moments in a segment."""
+    random = Random(seed)
+    rows = [("x", i % 2, START + timedelta(seconds=random.randrange(40_000))) for i in range(600)]
+    rows += [(None, i % 7, START + timedelta(seconds=random.randrange(4_000_000))) for i in range(300)] + [("x", 1, None)]
+    cooldown = timedelta(seconds=random.choice([1, 700, 9000, 10**7]))
+    assert run(spark, rows, cooldown, crowd=crowd) == brute_force(rows, cooldown)
+    last = {("x", 0): START + timedelta(seconds=100), (None, 3): START + timedelta(days=400)}
+    assert run(spark, rows, cooldown, last=last, crowd=crowd) == brute_force(rows, cooldown, last)
+
+
+def test_five_million_moments_of_one_key_within_an_hour(spark, monkeypatch):
+    passes = []
+    stored = crowded.written
+
+    def seen(df, purpose):
+        out = stored(df, purpose)
+        if purpose == "crowded-pass":
+            passes.append(out)
+        return out
+
+    monkeypatch.setattr(crowded, "written", seen)
+    n, step = 5_000_000, 720
+    df = spark.range(n).selectExpr("'hot' as a", "1 as b", f"timestampadd(MICROSECOND, id * {step}, timestamp_ntz'2025-01-01 00:00:00') as ts")
+    pause = timedelta(minutes=7, microseconds=11)
+    got = sorted(r.ts for r in alerts_with_cooldown(df, ["a", "b"], "ts", pause).collect())
+    expected, at = [], 0
+    while at < n:
+        expected.append(datetime(2025, 1, 1) + timedelta(microseconds=at * step))
+        at += -(-int(pause / timedelta(microseconds=1)) // step)
+    assert got == expected
+    tasks = [r["count"] for r in passes[0].groupBy("block").count().collect()]
+    assert len(tasks) >= 4 and max(tasks) <= 0.5 * n
