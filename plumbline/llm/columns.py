@@ -17,3 +17,10 @@ def renamed(docs: DataFrame) -> tuple[DataFrame, dict[str, str], list[Column]]:
     """(the table with columns _c0, _c1 …, name to new name, and the columns back under their own names)."""
     away, back = aside(docs)
     return docs.select(*away), {c: f"_c{i}" for i, c in enumerate(docs.columns)}, back
+
+
+def row_hashes(*columns: str) -> list[Column]:
+    """128 bits of some columns as two numbers.  The hash function skips NULLs; the second number marks them,
+    otherwise (1, 'a', NULL) and (1, NULL, 'a') would be equal."""
+    marked = [x for c in columns for x in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))]
+    return [F.xxhash64(*[F.col(f"`{c}`") for c in columns]), F.xxhash64(*marked)]

@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.llm.columns import aside
+from plumbline.llm.columns import aside, row_hashes
 from plumbline.llm.words import WORD
 from plumbline.session import written
 
@@ -136,7 +136,7 @@ def landing(p: np.ndarray, flown: np.ndarray, size: np.ndarray, rng: np.random.G
 
 def _fly(seed: int, level: int):
     def run(key: tuple, units: pd.DataFrame) -> pd.DataFrame:
-        units = units.sort_values(["_key", "_size"], kind="stable")
+        units = units.sort_values(["_key", "_more_key", "_size"], kind="stable")
         rng = np.random.default_rng([seed, level, zlib.crc32(repr((key[0], int(key[1]))).encode())])
         size = units["_size"].to_numpy()
         p = units["_p"].to_numpy(float)
@@ -154,11 +154,12 @@ def mixed(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: float =
     depend only on the seed, the level, the source and the block.
     """
     away, back = aside(docs, "size", "source_size", "target", "copies", "taken")
+    first, second = row_hashes(doc_id, text, source)
     rows = docs.select(
         *away, F.col(f"`{source}`").alias("_source"),
-        word_count(F.col(f"`{text}`")).alias("_size"),
-        F.xxhash64(F.col(f"`{doc_id}`"), F.col(f"`{text}`"), F.col(f"`{source}`")).alias("_key"))
-    units = written(rows.groupBy("_source", "_key").agg(F.sum("_size").alias("_size")), "mix-units")
+        word_count(F.col(f"`{text}`")).alias("_size"), first.alias("_key"), second.alias("_more_key"))
+    unit = ["_source", "_key", "_more_key"]
+    units = written(rows.groupBy(*unit).agg(F.sum("_size").alias("_size")), "mix-units")
     sizes = units.groupBy("_source").agg(F.sum("_size").alias("source_size"), F.count("*").alias("_units"))
     sizes = written(sizes.withColumnRenamed("_source", "source"), "mix-sizes")
     aims = written(targets(sizes.select("source", "source_size"), weights, most), "mix-targets").select(
@@ -168,24 +169,25 @@ def mixed(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: float =
     whole = F.floor(F.col("_times") + SETTLED)
     part = F.when(F.col("_times") - whole < SETTLED, 0.0).otherwise(F.col("_times") - whole)
     of_source = F.col("_source").eqNullSafe(F.col("_aim"))
-    open_ = units.join(aims, of_source).select("_source", "_key", "_size", part.alias("_p")).filter("_p > 0")
+    open_ = units.join(aims, of_source).select(*unit, "_size", part.alias("_p")).filter("_p > 0")
     counts = sizes.select(F.col("source").alias("_of"), "_units")
     level, settled = 0, None
     while True:
         blocked = (open_.join(counts, F.col("_source").eqNullSafe(F.col("_of")))
                    .withColumn("_blocks", F.ceil(F.col("_units") / block_rows))
                    .withColumn("_block", F.pmod(F.xxhash64("_key", F.lit(level)), F.col("_blocks")))
-                   .select("_source", "_block", "_blocks", "_key", "_size", "_p"))
+                   .select(*unit, "_block", "_blocks", "_size", "_p"))
         flown = written(blocked.groupBy("_source", "_block", "_blocks").applyInPandas(_fly(seed, level), blocked.schema)
-                        .select("_source", "_key", "_size", "_p"), "mix-flown")
+                        .select(*unit, "_size", "_p"), "mix-flown")
         settled = flown if settled is None else settled.unionByName(flown)
         open_ = flown.filter("_p > 0 and _p < 1")
         if open_.isEmpty():
             break
         counts = written(open_.groupBy(F.col("_source").alias("_of")).agg(F.count("*").alias("_units")), "mix-counts")
         level += 1
-    more = settled.filter("_p = 1").select(F.col("_key").alias("_more"))
-    copies = F.when(F.col("_size") > 0, whole + F.when(F.col("_more").isNotNull(), 1).otherwise(0)).otherwise(0)
-    return (rows.join(more, F.col("_key") == F.col("_more"), "left").join(aims, of_source)
+    taken = settled.filter("_p = 1").select(*[F.col(c).alias(f"{c}_taken") for c in unit])
+    same = (F.col("_key") == F.col("_key_taken")) & (F.col("_more_key") == F.col("_more_key_taken")) & F.col("_source").eqNullSafe(F.col("_source_taken"))
+    copies = F.when(F.col("_size") > 0, whole + F.when(F.col("_key_taken").isNotNull(), 1).otherwise(0)).otherwise(0)
+    return (rows.join(taken, same, "left").join(aims, of_source)
             .select(*back, F.col("_size").alias("size"), "source_size",
                     "target", copies.cast("long").alias("copies"), (F.col("_size") * copies).cast("long").alias("taken")))

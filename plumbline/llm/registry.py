@@ -56,8 +56,9 @@ def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     per_text = repeats.cut_texts(docs).select(
         "text_key", "n_bytes", F.expr("aggregate(spans, 0L, (n, s) -> n + s.stop - s.start)").alias("n_removed"),
-        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
-    return repeats.of_rows(docs, per_text).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+        F.make_valid_utf8(F.col("kept").cast("string")).alias("text"))  # a cut may leave half a character
+    return repeats.of_rows(docs, per_text).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text")
 
 
 def op9_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -36,6 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.llm.columns import row_hashes
 from plumbline.llm.components import components
 from plumbline.llm.words import mix, ngram_hashes, portions, text_bytes, word_hashes, word_spans
 from plumbline.session import written
@@ -193,7 +194,8 @@ def _verify(threshold: float):
 
 
 def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
-    return F.xxhash64(F.col(f"`{doc_id}`"), F.col(f"`{text}`"))
+    """128 bits of id and text, NULLs marked."""
+    return F.struct(*[h.alias(c) for h, c in zip(row_hashes(doc_id, text), "ab")])
 
 
 def linked(docs: DataFrame, n: int = 5, threshold: float = 0.8, trees: int = 24, longest: int = 8, recall: float = 0.9999,

@@ -92,3 +92,13 @@ def test_awkward(spark):
     assert {r.size for r in out.filter("text is null or trim(text) = ''").collect()} <= {0, 1}
     assert out.filter("size = 0 and taken > 0").count() == 0
     assert mixing.mixed(nothing(spark)).collect() == []
+
+
+def test_no_row_is_multiplied_where_columns_are_null(spark):
+    """Rows that differ only in which column is null are different units."""
+    values = (None, "a", "b")
+    rows = [(i, t, s) for i in values for t in values for s in values] * 2 + [("a", "a b c", None), ("a", None, "a b c")]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, source string")
+    for seed in range(20):
+        found = mixing.mixed(docs, seed=seed).collect()
+        assert sorted(((r.doc_id, r.text, r.source) for r in found), key=str) == sorted(rows, key=str)

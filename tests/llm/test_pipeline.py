@@ -91,3 +91,12 @@ def test_awkward(spark):
             docs = written(stage(spark, docs, MIDDLE), f"awkward-{name}")
             assert docs.columns == before or name == "sharding"
         assert docs.filter("text is null or text = ''").count() == 0
+
+
+def test_near_duplicates_tells_null_ids_from_null_texts(spark):
+    rows = [("x", None), (None, "x"), (None, None), ("x", "x"), ("y", None), (None, "y"), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id string, text string, lang string, source string, n_chars int")
+    kept = corpus_pipeline.near_duplicates(spark, docs, MIDDLE)
+    # ("x", "x") and (None, "x") are one class; a repeated row stays once.
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(
+        [("x", "x"), ("x", None), (None, None), ("y", None), (None, "y")], key=str)

@@ -92,6 +92,10 @@ def test_query(spark):
     want = dict(zip([r.doc_id for r in docs], removed([r.text for r in docs], 400)))
     rows = registry.op8_repeats(spark, SMALL).collect()
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows} == want
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()}
+    for r in rows:  # the remaining text; half characters at a cut are replaced
+        assert (r.text == texts[r.doc_id]) == (r.n_removed == 0)
+        assert r.text.isascii() is False or len(r.text) == r.n_bytes - r.n_removed
 
 
 def test_awkward(spark):
