@@ -12,7 +12,7 @@ from pyspark.sql.window import Window
 from plumbline.functions import metrics as m
 from plumbline.functions import text
 from plumbline.operators import changes, cooldown, references, updates
-from plumbline.plans import alerts, enrich, root_cause, semantic, validate
+from plumbline.plans import alerts, enrich, facts, root_cause, semantic, validate
 from plumbline.plans import shop_monitors as monitors
 from plumbline.session import shared_folder, written
 from plumbline.sources import shop
@@ -356,6 +356,34 @@ def semantic_facts(spark, d):
     return model(spark, d).query_rows(["order_total", "quality_score"], ["region", "tier"], keep=["order_id"])
 
 
+def shop_facts(spark, d):
+    return facts.SHOP.bind(orders=validated(spark, d), customers=raw(spark, d, "customers"), shipments=raw(spark, d, "shipments"))
+
+
+@query
+def facts_by_tier(spark, d):
+    """Three fact tables; shipments reach the tier over orders and customers."""
+    return shop_facts(spark, d).query(["late_shipments", "late_rate", "total_shipments", "rejected_count", "total_orders",
+                                       "shipments_per_order", "customer_rows"], ["tier"])
+
+
+@query
+def facts_filtered(spark, d):
+    return shop_facts(spark, d).query(["late_shipments", "untracked_count", "total_orders"], ["region", "tier"],
+                                      where={"quality_status": "quality_status <> 'REJECTED'"})
+
+
+@query
+def root_cause_slices(spark, d):
+    return root_cause.slices(model(spark, d), "n_rejected", "n_orders", ["region", "tier", "status"])
+
+
+@query
+def root_cause_address_slices(spark, d):
+    return root_cause.slices(model(spark, d), "n_missing_address", "n_rows", ["region", "status", "quality_status", "tier"],
+                             least_rows=50, least_share=0.02, above_parents=1.0)
+
+
 @query
 def root_cause_region(spark, d):
     return root_cause.rejection_causes(validated(spark, d), "region")

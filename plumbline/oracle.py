@@ -329,6 +329,40 @@ def _flags() -> str:
                   "order by x desc, rule desc) as rn from excess) where rn = 1)"], rows)
 
 
+def _facts(dims: str, where: str, chosen: str, customers: bool = False) -> str:
+    """Every fact counted by itself, then the counts added up."""
+    columns = {"n_orders": "count(*)", "n_rejected": "count_if(quality_status = 'REJECTED')"}
+    ship = {"n_shipments": "count(*)", "n_late": "count_if(actual_delivery > estimated_delivery)", "n_untracked": "count_if(tracking_number is null)"}
+    names = [*columns, *ship, "n_customers"]
+    parts = [("tiered", columns), ("shipped", ship), *([("raw_customers_tier", {"n_customers": "count(*)"})] if customers else [])]
+    rows = " union all ".join(
+        f"select {dims}, {', '.join(f'{measures.get(n, 0)} as {n}' for n in names)} from {t} where {where} group by all" for t, measures in parts)
+    totals = ", ".join(f"{_big(f'sum({n})')} as {n}" for n in names)
+    return _with([_ORDERS, _CUSTOMERS, _SHIPMENTS, _VALIDATED,
+                  "shipped as (select s.* exclude (status), t.tier, t.region, t.quality_status from raw_shipments s left join tiered t on s.order_id = t.order_id)",
+                  "raw_customers_tier as (select tier from raw_customers)",
+                  f"totals as (select {dims}, {totals} from ({rows}) group by all)"], f"select {dims}, {chosen} from totals")
+
+
+def _slices(dims: Sequence[str], bad: str, least_rows: int, least_share: float, above: float) -> str:
+    """All slices by brute force, each beside all slices with one dimension less."""
+    free = ", ".join(f"grouping({d}) as g_{d}" for d in dims)
+    cells = (f"cells as (select {', '.join(dims)}, {free}, count(*) as n, count_if({bad}) as bad from tiered group by cube ({', '.join(dims)})), "
+             "whole as (select bad, n, cast(bad as double) / n as rate from cells where "
+             + " and ".join(f"g_{d} = 1" for d in dims) + ")")
+    fewer = " or ".join(
+        "(" + " and ".join([f"c.g_{d} = 0 and p.g_{d} = 1", *[f"p.g_{e} = c.g_{e} and p.{e} is not distinct from c.{e}" for e in dims if e != d]]) + ")"
+        for d in dims)
+    fixed = "array_to_string(list_filter([" + ", ".join(f"case when c.g_{d} = 0 then '{d}' end" for d in dims) + "], lambda x: x is not null), ',')"
+    kept = (f"select {fixed} as fixed, {', '.join('c.' + d for d in dims)}, c.n as row_count, cast(c.bad as bigint) as bad_count, "
+            "round(cast(c.bad as double) * 100 / c.n, 2) as bad_rate, round(c.bad - c.n * w.rate, 4) as excess "
+            f"from cells c join cells p on {fewer}, whole w "
+            f"group by {', '.join(f'c.{d}, c.g_{d}' for d in dims)}, c.n, c.bad, w.bad, w.rate "
+            f"having c.n >= {least_rows} and c.bad > 0 and c.bad - c.n * w.rate >= {least_share} * w.bad "
+            f"and cast(c.bad as double) / c.n >= {above} * max(cast(p.bad as double) / p.n)")
+    return _with([_ORDERS, _CUSTOMERS, _VALIDATED, cells], kept)
+
+
 def _sides(table: str, inside: str, chosen: Sequence[str]) -> str:
     rows = " union all ".join(
         f"select '{m}' as metric_name, w.v as group_value, r.v as rest_value, w.v - r.v as difference from "
@@ -518,6 +552,13 @@ def oracle_sql() -> dict[str, str]:
         "refresh_history": "select * from (values (1::bigint, 'shop.clean.validated_orders', 'SUCCEEDED', 1), "
                            "(2::bigint, 'shop.clean.validated_orders', 'SUCCEEDED', 1)) as v(position, name, state, attempt)",
     }
+    queries["facts_by_tier"] = _facts("tier", "true", f"""n_late as late_shipments, {_per_hundred("n_late", "n_shipments")} as late_rate,
+        n_shipments as total_shipments, n_rejected as rejected_count, n_orders as total_orders,
+        round(cast(n_shipments as double) / nullif(cast(n_orders as double), 0), 3) as shipments_per_order, n_customers as customer_rows""", customers=True)
+    queries["facts_filtered"] = _facts("region, tier", "quality_status <> 'REJECTED'",
+                                       "n_late as late_shipments, n_untracked as untracked_count, n_orders as total_orders")
+    queries["root_cause_slices"] = _slices(["region", "tier", "status"], "quality_status = 'REJECTED'", 20, 0.01, 1.05)
+    queries["root_cause_address_slices"] = _slices(["region", "status", "quality_status", "tier"], "shipping_address is null", 50, 0.02, 1.0)
     queries["captured_changes"] = _on_updated(body=f"""
         select case when n > 0 then 'came' else 'went' end as kind, {_big("sum(abs(n))")} as copies, count(*) as different_rows
         from (select * exclude (v), sum(v) as n from (select *, 1 as v from raw_orders union all select *, -1 as v from raw_first) group by all)

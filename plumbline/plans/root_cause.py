@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +12,7 @@ from pyspark.sql.window import Window
 
 from plumbline.plans.semantic import SemanticModel
 from plumbline.plans.validate import HARD_RULES, SOFT_RULES, Rule
+from plumbline.session import written
 
 # ---- fixed values -----------------------------------------------------------
 TOLERANCE = 0.10        # more than 10 % worse than overall is flagged
@@ -96,3 +99,61 @@ def one_against_rest(model: SemanticModel, dimension: str, group: str, metrics:
         F.max(F.when(~F.col("_one"), F.col("v"))).alias("rest_value"))
     return both.select("metric_name", "group_value", "rest_value",
                        (F.col("group_value") - F.col("rest_value")).alias("difference"))
+
+
+def slices(model: SemanticModel, bad: str, total: str, dims: Sequence[str], least_rows: int = 20,
+           least_share: float = 0.01, above_parents: float = 1.05) -> DataFrame:
+    """Combinations of dimension values ("GOLD in WEST") where ``bad`` rows are in excess.
+
+    A slice fixes the values of some dimensions.  Its excess is what it has of
+    ``bad`` beyond the overall rate; it is reported if it has ``least_rows`` rows,
+    its excess is at least ``least_share`` of all bad rows, and its rate is
+    ``above_parents`` times that of each slice with one dimension less (so a
+    combination that adds nothing to its parts is left out).
+
+    The rows are read once, into sums by all dimensions; the lattice of slices is
+    searched on these, from few dimensions to many.  A slice is not looked into
+    if it is too small, or if even all its bad rows together in one part would
+    not be enough excess: no slice below it could be reported.
+    """
+    finest = written(model.sums([bad, total], dims).select(*dims, F.col(bad).alias("bad"), F.col(total).alias("n")), "finest")
+    whole = finest.agg(F.sum("bad").alias("bad"), F.sum("n").alias("n")).first()
+    if not whole["n"]:
+        whole = {"bad": 0, "n": 1}
+    rate = whole["bad"] / whole["n"]
+    enough = least_share * whole["bad"]
+    excess = F.col("bad") - F.col("n") * F.lit(rate)
+    alive: dict[tuple[str, ...], DataFrame] = {}
+    found = None
+
+    def joined(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
+        same = reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[f"_{c}"]) for c in on])
+        return left.join(right, same, how)
+
+    for size in range(1, len(dims) + 1):
+        for fixed in combinations(dims, size):
+            parents = [p for p in combinations(fixed, size - 1) if p]
+            if not all(p in alive for p in parents):
+                continue
+            cells = finest
+            for p in parents:
+                cells = joined(cells, alive[p].select(*[F.col(c).alias(f"_{c}") for c in p]), p, "left_semi")
+            one = cells.groupBy(*fixed).agg(F.sum("bad").alias("bad"), F.sum("n").alias("n"))
+            one = written(one.filter((F.col("n") >= least_rows) & (F.col("bad") * F.lit(1 - rate) >= enough)), "slices")
+            if one.isEmpty():
+                continue
+            alive[fixed] = one
+            above = one.withColumn("_above", F.lit(rate))
+            for p in parents:
+                parent = alive[p].select(*[F.col(c).alias(f"_{c}") for c in p], (F.col("bad").cast("double") / F.col("n")).alias("_rate"))
+                above = joined(above, parent, p, "inner").withColumn("_above", F.greatest("_above", "_rate")) \
+                    .select(*fixed, "bad", "n", "_above")
+            kept = above.filter((excess >= enough) & (F.col("bad") > 0) & (F.col("bad").cast("double") / F.col("n") >= above_parents * F.col("_above")))
+            kept = kept.select(F.lit(",".join(fixed)).alias("fixed"), *[F.col(d) if d in fixed else F.lit(None).cast(finest.schema[d].dataType).alias(d) for d in dims],
+                               F.col("n").alias("row_count"), F.col("bad").alias("bad_count"),
+                               F.round(F.col("bad").cast("double") * 100 / F.col("n"), 2).alias("bad_rate"), F.round(excess, 4).alias("excess"))
+            found = kept if found is None else found.unionByName(kept)
+    if found is None:
+        kinds = ", ".join(f"{d} {finest.schema[d].dataType.simpleString()}" for d in dims)
+        return finest.sparkSession.createDataFrame([], f"fixed string, {kinds}, row_count long, bad_count long, bad_rate double, excess double")
+    return found
