@@ -47,6 +47,8 @@ UNKNOWN = "und"
 #: Most bits of the bitmap of frequent pairs (8 MB).
 FILTER_BITS = 1 << 26
 TASK_ROWS = 2_000_000
+#: Pairs or suffixes that a task counts at a time.
+GATHERED = 1 << 19
 SALTS = 64
 
 _BREAKS = np.zeros(256, bool)
@@ -113,8 +115,15 @@ def _count_pairs(seed: int):
             for _, _, _, words, piece, _, _ in tokens(batch, seed):
                 pair, same = pair_hashes(words, piece)
                 held.append(pair[same])
-            key, _, n = _unique(np.concatenate(held) if held else np.zeros(0, np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], ["pair", "n"])
+                if sum(map(len, held)) >= GATHERED:
+                    yield counts(held)
+                    held = []
+            if held:
+                yield counts(held)
+
+    def counts(held):
+        key, _, n = _unique(np.concatenate(held))
+        return pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], ["pair", "n"])
     return run
 
 
@@ -153,10 +162,16 @@ def _suffixes(seed: int, depth: int, bits: np.ndarray):
                     going = going & (at + k < len(words)) & good[np.minimum(at + k - 1, len(good) - 1)]
                     rows[:, k] = np.where(going, words[place], 0)
                 held.append(merged(rows, np.ones(len(rows), np.int64)))
+                if sum(len(r) for r, _ in held) >= GATHERED:
+                    yield counts(held)
+                    held = []
             if held:
-                rows, weight = merged(np.concatenate([r for r, _ in held]), np.concatenate([w for _, w in held]))
-                yield pa.RecordBatch.from_arrays([*(pa.array(np.ascontiguousarray(rows[:, k])) for k in range(depth)), pa.array(weight)],
-                                                 [*(f"w{k}" for k in range(depth)), "weight"])
+                yield counts(held)
+
+    def counts(held):
+        rows, weight = merged(np.concatenate([r for r, _ in held]), np.concatenate([w for _, w in held]))
+        return pa.RecordBatch.from_arrays([*(pa.array(np.ascontiguousarray(rows[:, k])) for k in range(depth)), pa.array(weight)],
+                                          [*(f"w{k}" for k in range(depth)), "weight"])
     return run
 
 
