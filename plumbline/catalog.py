@@ -464,6 +464,18 @@ def validated_after_updates(spark, d):
     return table.read()
 
 
+@query
+def refresh_modes(spark, d):
+    """Some rows change and the refresh is incremental; then all of them, and the table is built anew."""
+    first, second = versions(spark, d)
+    third = second.withColumn("quantity", F.col("quantity") + 1)
+    table = ValidatedTable(spark, shared_folder(spark, "validated"))
+    table.initialize(first)
+    table.change(changes.captured(first, second), second, 0)
+    table.change(changes.captured(second, third), third, 1)
+    return table.refresh_modes()
+
+
 @query
 def metrics_after_updates(spark, d):
     before, after = versions(spark, d)

@@ -563,6 +563,13 @@ def oracle_sql() -> dict[str, str]:
         select case when n > 0 then 'came' else 'went' end as kind, {_big("sum(abs(n))")} as copies, count(*) as different_rows
         from (select * exclude (v), sum(v) as n from (select *, 1 as v from raw_orders union all select *, -1 as v from raw_first) group by all)
         where n <> 0 group by 1""")
+    changed = ("(select count(*) from (select * exclude (v), sum(v) as n from (select *, 1 as v from {1} union all "
+               "select *, -1 as v from {0}) group by all) where n <> 0)")
+    modes = " union all ".join(f"select {_big(i)} as batch_id, {changed.format(a, b)} as changed_rows" for i, a, b in (
+        (0, "raw_first", "raw_orders"), (1, "raw_orders", "(select * replace (quantity + 1 as quantity) from raw_orders)")))
+    queries["refresh_modes"] = _on_updated(body=f"""
+        select batch_id, case when changed_rows > 0.5 * base_rows then 'FULL' else 'INCREMENTAL' end as refresh_mode, changed_rows, base_rows
+        from ({modes}), (select count(distinct order_id) as base_rows from raw_first)""")
     queries["validated_after_updates"] = _on_updated(_CUSTOMERS, _VALIDATED, body="select * from validated")
     queries["metrics_after_updates"] = _on_updated(body=_measured("raw_orders", "orders", _ORDER_METRICS, AS_OF))
     queries["stream_validated"] = queries["validated_orders"]

@@ -160,7 +160,7 @@ def loaded_shipments_from(source: DataFrame) -> DataFrame:
 
 # ---- fixed values -----------------------------------------------------------
 KEY_OF_ORDER = "cast(substring(order_id, 5) as bigint)"
-CLOSED_AFTER = "1998-07-25"
+CLOSED_AFTER = "2001-07-25"
 RESTATED = "RESTATED"
 # -----------------------------------------------------------------------------
 

@@ -37,6 +37,12 @@ TARGET_LAG = "1 minute"
 # Batches between two compactions: a day at the usual lag.
 COMPACT_EVERY = 1440
 INITIAL = -1            # the batch number of the initial build
+AUTO, FULL, INCREMENTAL = "AUTO", "FULL", "INCREMENTAL"
+# From so many changed rows for each row of the base on, building the table anew
+# is cheaper: a changed row is looked up, compared and merged by every reader.
+FULL_ABOVE = 0.5
+MODES = T.StructType([T.StructField("refresh_mode", T.StringType()), T.StructField("changed_rows", T.LongType()),
+                      T.StructField("base_rows", T.LongType())])
 
 
 def now() -> datetime:
@@ -54,6 +60,7 @@ class ValidatedTable:
         self.base = VersionedTable(spark, f"{self.folder}/base", VALIDATED)
         self.changes = BatchLog(spark, f"{self.folder}/changes", VALIDATED)
         self.resets = BatchLog(spark, f"{self.folder}/resets", T.StructType([T.StructField(KEY, T.StringType())]))
+        self.modes = BatchLog(spark, f"{self.folder}/modes", MODES)
         self.refreshes = BatchLog(spark, f"{self.folder}/refreshes", schemas.REFRESHES)
 
     # -- writing -----------------------------------------------------------------
@@ -69,12 +76,26 @@ class ValidatedTable:
         if batch_id and batch_id % self.compact_every == 0:
             self.compact(batch_id - 1)
 
-    def change(self, changes: DataFrame, orders: DataFrame, batch_id: int) -> None:
+    def change(self, changes: DataFrame, orders: DataFrame, batch_id: int, mode: str = AUTO) -> None:
         """Follow net changes of the raw orders (``operators.changes``), among them
         rows that were updated, deleted or truncated.  ``orders`` is the raw
-        table after them; only keys whose row in this table went are read from it."""
+        table after them.
+
+        An incremental refresh reads from it only keys whose row in this table
+        went, a full one builds a new base.  AUTO chooses by the numbers of
+        changed rows and of rows in the base, which cost a look at file footers.
+        The choice is noted (``refresh_modes``)."""
         def work() -> None:
             changed = written(changes, "changes")
+            n, rows = changed.count(), self.base.read().count()
+            chosen = mode if mode != AUTO else FULL if n > FULL_ABOVE * rows else INCREMENTAL
+            if chosen == FULL:
+                self.base.publish(validated_orders(orders), batch_id)
+            else:
+                follow(changed)
+            self.modes.write(self.spark.createDataFrame([(chosen, n, rows)], MODES), batch_id)
+
+        def follow(changed: DataFrame) -> None:
             raw = schemas.ORDERS.fieldNames()
             known = of_keys(self._merged(batch_id - 1), changed.filter(F.col(CHANGE) < 0), KEY)
             lost = written(lost_keys(known.select(*raw), changed, KEY, raw).distinct(), "lost-keys")
@@ -136,6 +157,10 @@ class ValidatedTable:
     def read(self) -> DataFrame:
         return self._merged()
 
+    def refresh_modes(self) -> DataFrame:
+        """How each batch of net changes was followed."""
+        return self.modes.read().select("batch_id", *MODES.fieldNames())
+
     def refresh_history(self, n: int = 5) -> DataFrame:
         return (self.refreshes.read().filter(F.col("name") == self.name)
                 .orderBy(F.col("refresh_start_time").desc(), F.col("batch_id").desc(), F.col("attempt").desc())

@@ -91,6 +91,22 @@ def test_validated_table_follows_updates_and_streamed_rows(spark, folder):
     assert [r.state for r in table.refresh_history(10).collect()] == ["SUCCEEDED"] * 6
 
 
+def test_refresh_mode_turns_with_the_number_of_changes(spark, folder):
+    first = table_of(spark, *[order(f"k{i}", 1 + i % 20) for i in range(20)])
+    results = []
+    for moved, expected in ((10, "INCREMENTAL"), (11, "FULL")):
+        changed = table_of(spark, *[order(f"k{i}", 1 + i % 20) for i in range(moved, 20)])
+        for mode in ("AUTO", "FULL", "INCREMENTAL"):
+            table = ValidatedTable(spark, f"{folder}/{moved}-{mode}")
+            table.initialize(first)
+            table.change(captured(first, changed), changed, 0, mode)
+            assert table.refresh_modes().first()["refresh_mode"] == (expected if mode == "AUTO" else mode)
+            results.append((moved, rows_of(table.read())))
+            table.change(captured(changed, first), first, 1, "INCREMENTAL")
+            assert rows_of(table.read()) == rows_of(validated_orders(first))
+        assert all(r == rows_of(validated_orders(changed)) for m_, r in results if m_ == moved)
+
+
 def test_shop_versions(spark, folder):
     before = shop.raw(spark, SMALL, "orders")
     after = shop.updated_orders(before)
