@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 
 from plumbline.functions import metrics as m
 from plumbline.functions import text
-from plumbline.operators import changes, cooldown, references, updates
+from plumbline.operators import changes, cooldown, nearest, references, sketches, updates
 from plumbline.plans import alerts, enrich, facts, root_cause, semantic, validate
 from plumbline.plans import shop_monitors as monitors
 from plumbline.session import shared_folder, written
@@ -155,6 +155,30 @@ def category_repair(spark, d):
             .select("category", nearest.alias("repaired"), "products"))
 
 
+@query
+def product_label_repair(spark, d):
+    """Misspelt labels of products and the nearest label in the whole table, NULL if none is within two edits."""
+    parts = shop.labelled_parts(given(spark, d, "part"))
+    index = written(nearest.remainder_index(parts, "label"), "label-index")
+    wrong = parts.filter("given_label != label")
+    found = nearest.nearest_listed(wrong, "given_label", index)
+    return wrong.join(found, "given_label", "left").select(
+        "p_partkey", "given_label", F.col("nearest").alias("repaired"), "distance")
+
+
+@query
+def history_estimates(spark, d):
+    """Distinct orders up to each month, and whether the estimate from the months' sketches keeps its stated bound."""
+    month = F.trunc("order_date", "month")
+    estimates = sketches.running_estimates(sketches.batch_sketches(orders(spark, d), ["order_id"], month))
+    first = orders(spark, d).dropna(subset=["order_id"]).groupBy("order_id").agg(F.min(month).alias("batch"))
+    fresh = first.groupBy("batch").agg(F.count("*").alias("n"))
+    so_far = Window.orderBy("batch").rowsBetween(Window.unboundedPreceding, 0)
+    exact = estimates.join(fresh, "batch", "left").withColumn("exact", F.sum("n").over(so_far))
+    return exact.select("batch", "exact", (F.abs(F.col("estimate") - F.col("exact"))
+                                           <= sketches.bound() * F.col("exact")).alias("within_bound"))
+
+
 # -- monitors ------------------------------------------------------------------------
 
 @query

@@ -26,7 +26,7 @@ def draw_sql(key: str, salt: int, n: int | str) -> str:
     return f"(({start} * {start}) % {MERSENNE} * {MULTIPLIER} % {PRIME} % {n})"
 
 
-def draw(key: str, salt: int, n: int) -> Column:
+def draw(key: str, salt: int, n: int | str) -> Column:
     """An integer in ``[0, n)`` from a bigint column."""
     return F.expr(draw_sql(key, salt, n))
 

@@ -464,6 +464,24 @@ def oracle_sql() -> dict[str, str]:
             "select category, repaired, count(*) as products from (select category, (select v from "
             f"(select unnest([{_listed(shop.CATEGORIES)}]) as v) order by levenshtein(p.category, v), v limit 1) "
             "as repaired from raw_products p) group by category, repaired")),
+        "product_label_repair": (
+            "with labels as (select p_partkey, concat_ws(' ', p_brand, p_name, p_type) as label from part), "
+            f"placed as (select *, {draw_sql('p_partkey', 91, 100)} as kind, "
+            f"cast({draw_sql('p_partkey', 92, 'length(label)')} as int) as gone from labels), "
+            "named as (select p_partkey, label, case when kind < 4 then label[:gone] || label[gone + 2:] "
+            "when kind < 7 then label[:gone] || '_' || label[gone + 2:] "
+            "when kind < 8 then 'zzz' || label else label end as given_label from placed), "
+            "wrong as (select * from named where given_label <> label), "
+            "pairs as (select w.given_label, l.label, levenshtein(w.given_label, l.label) as far "
+            "from (select distinct given_label from wrong) w, (select distinct label from labels) l), "
+            "best as (select given_label, min({'far': far, 'label': label}) as b from pairs where far <= 2 group by given_label) "
+            "select p_partkey, w.given_label, b.label as repaired, cast(b.far as int) as distance "
+            "from wrong w left join best on best.given_label = w.given_label"),
+        "history_estimates": _on_orders(
+            "select months.batch, count(*) as exact, true as within_bound from "
+            "(select distinct cast(date_trunc('month', order_date) as date) as batch from raw_orders) months join "
+            "(select order_id, min(order_date) as first from raw_orders where order_id is not null group by order_id) o "
+            "on o.first < months.batch + interval 1 month group by months.batch"),
         "dq_orders_all": _on_orders(_measured("raw_orders", "orders", _ORDER_METRICS, AS_OF)),
         "dq_lineitem_all": _measured("lineitem", "lineitem", _LINE_METRICS, AS_OF),
         "dq_expectations": _with([_ORDERS, measured, _judged("measured")], "select * from statuses"),

@@ -121,6 +121,19 @@ def products_from(source: DataFrame) -> DataFrame:
     ), schemas.PRODUCTS)
 
 
+def labelled_parts(source: DataFrame) -> DataFrame:
+    """Parts with their label and the label as given, in which some lost or
+    changed a character or got a prefix."""
+    k = "p_partkey"
+    kind, label = draw(k, 91, 100), F.col("label")
+    at = draw(k, 92, "length(label)").cast("int")
+    before, after = label.substr(F.lit(1), at), label.substr(at + 2, F.length(label))
+    parts = source.select(k, F.concat_ws(" ", "p_brand", "p_name", "p_type").alias("label"))
+    return parts.withColumn("given_label", F.when(kind < 4, F.concat(before, after))
+                            .when(kind < 7, F.concat(before, F.lit("_"), after))
+                            .when(kind < 8, F.concat(F.lit("zzz"), label)).otherwise(label))
+
+
 def inventory_from(source: DataFrame) -> DataFrame:
     k = "p_partkey"
     return schemas.conform(source.select(
