@@ -6,8 +6,9 @@ the word comes out in two steps, its class and then its place within the class,
 so that probabilities of all words sum to one at the cost of two small softmaxes.
 The sum of the log probabilities of all tokens is the document's score.
 
-* Words are counted over all documents, in hashed buckets.  The most frequent
-  buckets have tokens of their own, the rest share the others.
+* Texts are split once: the hashed bucket of every word is stored, two bytes a
+  word.  Buckets are counted over all documents; the most frequent ones have
+  tokens of their own, the rest share the others.
 * The network starts as the word frequencies.  Each round, every task trains its
   own copy in numpy on its documents (all of them by default), and the copies are
   averaged by number of tokens in one aggregate.  What is gathered grows with the
@@ -33,6 +34,7 @@ from pyspark.sql import functions as F
 
 from plumbline.llm.columns import aside
 from plumbline.llm.words import portions, text_bytes, word_hashes, word_spans
+from plumbline.session import written
 
 REACH = 2
 WIDTH = 32                      # hidden units, classes, and words of a class
@@ -61,18 +63,35 @@ class Model:
 
 
 def _words(batch_text: pa.Array):
+    """(first row, row after the last, bucket of each word, row of each word) of portions of the texts."""
     data, offsets = text_bytes(batch_text)
     for lo, hi in portions(offsets):
         part, at = data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo]
         start, end, row = word_spans(part, at)
-        yield lo, hi, word_hashes(part, start, end), row
+        yield lo, hi, word_hashes(part, start, end).astype(np.uint16), row
+
+
+def _bucketed(text: pa.Array) -> pa.Array:
+    out = []
+    for lo, hi, words, row in _words(text):
+        ends = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=hi - lo))])
+        out += [words[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])]
+    return pa.array(out, pa.binary())
+
+
+def _stored(column: pa.Array):
+    """(bucket of each word, row of each word) of portions of a column of stored buckets."""
+    data, offsets = text_bytes(column)
+    words, ends = data.view(np.uint16), offsets // 2
+    for lo, hi in portions(ends, 1 << 18):
+        yield words[ends[lo]:ends[hi]], np.repeat(np.arange(hi - lo), np.diff(ends[lo:hi + 1]))
 
 
 def _count(batches):
     total = np.zeros(BUCKETS, np.int64)
     for batch in batches:
-        for _, _, words, _ in _words(batch.column(0)):
-            total += np.bincount((words % np.uint64(BUCKETS)).astype(np.int64), minlength=BUCKETS)
+        for words, _ in _stored(batch.column(0)):
+            total += np.bincount(words, minlength=BUCKETS)
     used = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(total[used])], ["bucket", "n"])
 
@@ -89,37 +108,52 @@ def padded(tokens: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return out, at
 
 
+def _tanh(x: np.ndarray) -> np.ndarray:
+    """tanh by one exponential, which numpy computes faster; changes x."""
+    with np.errstate(over="ignore"):  # to infinity, which gives 1
+        np.exp(np.add(x, x, out=x), out=x)
+    x += 1
+    np.divide(-2, x, out=x)
+    x += 1
+    return x
+
+
 def _softmax(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(probabilities, log of the sum of exponentials) of each row."""
     top = x.max()
-    e = np.exp(x - top)
+    e = x - top
+    np.exp(e, out=e)
     total = e @ np.ones(x.shape[1], x.dtype)
     if total.min() < 1e-30:  # a row far below the largest one
         top = x.max(axis=1, keepdims=True)
         e = np.exp(x - top)
         total = e @ np.ones(x.shape[1], x.dtype)
         return e / total[:, None], np.log(total) + top[:, 0]
-    return e / total[:, None], np.log(total) + top
+    e /= total[:, None]
+    return e, np.log(total) + top
 
 
 def forward(w: dict[str, np.ndarray], sequence: np.ndarray, lo: int, hi: int):
     """(log probability of each token from lo to hi, and what the gradient needs)."""
     n = hi - lo
-    around = w["context"][sequence[lo - REACH:hi + REACH]]
+    around = w["context"].take(sequence[lo - REACH:hi + REACH], axis=0)
     hidden = w["hidden_bias"] + around[:n, :WIDTH]
     for k, place in enumerate(_PLACES[1:], 1):
         hidden += around[REACH + place:REACH + place + n, k * WIDTH:(k + 1) * WIDTH]
-    hidden = np.tanh(hidden)
+    hidden = _tanh(hidden)
     tokens = sequence[lo:hi].astype(np.int64) % TOKENS  # a blank's own probability is never used
     kind, inner, at = tokens // WIDTH, tokens % WIDTH, np.arange(n)
     classes = hidden @ w["class_out"] + w["class_bias"]
-    second = np.tanh(hidden + w["class_in"][kind])
-    words = second @ w["word_out"] + w["word_bias"][kind]
+    second = w["class_in"].take(kind, axis=0)
+    second += hidden
+    second = _tanh(second)
+    words = second @ w["word_out"]
+    words += w["word_bias"].take(kind, axis=0)
     (p_class, s_class), (p_word, s_word) = _softmax(classes), _softmax(words)
     return classes[at, kind] - s_class + words[at, inner] - s_word, (hidden, second, p_class, p_word, kind, inner, at)
 
 
-def log_probabilities(w: dict[str, np.ndarray], tokens: np.ndarray, row: np.ndarray, batch: int = 8192) -> np.ndarray:
+def log_probabilities(w: dict[str, np.ndarray], tokens: np.ndarray, row: np.ndarray, batch: int = 2048) -> np.ndarray:
     sequence, at = padded(tokens, row)
     out = np.zeros(len(sequence))
     for lo in range(REACH, len(sequence) - REACH, batch):
@@ -132,18 +166,20 @@ def train_pass(table: np.ndarray, sequence: np.ndarray, squares: np.ndarray, rat
     """One pass over a padded sequence in mini-batches, with a step size for each weight row (AdaGrad); changes table and squares."""
     w = _views(table)
     seen = _views(squares)
+    ones = np.eye(WIDTH, dtype=table.dtype)
 
     def step(name: str, rows, gradient: np.ndarray) -> None:
-        total = seen[name][rows] + np.einsum("ij,ij->i", gradient, gradient)[:, None] / gradient.shape[1]
-        seen[name][rows] = total
-        w[name][rows] -= rate * gradient / np.sqrt(total)
+        total = seen[name][rows, :1] + np.einsum("ij,ij->i", gradient, gradient)[:, None] / gradient.shape[1]
+        seen[name][rows, :1] = total  # one step size a row: the first column holds it
+        w[name][rows] -= gradient * (rate / np.sqrt(total))
 
     for lo in range(REACH, len(sequence) - REACH, batch):
         hi = min(lo + batch, len(sequence) - REACH)
         _, (hidden, second, d_class, d_word, kind, inner, at) = forward(w, sequence, lo, hi)
         blank = np.flatnonzero(sequence[lo:hi] == TOKENS)
         share = table.dtype.type(1 / max(1, hi - lo - len(blank)))
-        d_class[at, kind] -= 1
+        of_kind = ones.take(kind, axis=0)
+        d_class -= of_kind
         d_word[at, inner] -= 1
         d_class[blank] = d_word[blank] = 0
         second_loss = d_word @ w["word_out"].T
@@ -155,23 +191,21 @@ def train_pass(table: np.ndarray, sequence: np.ndarray, squares: np.ndarray, rat
         of_hidden = hidden.T @ d_class
         np.multiply(hidden, hidden, out=hidden)
         d_hidden -= d_hidden * hidden
-        of_class = np.zeros((WIDTH, hi - lo), table.dtype)
-        of_class[kind, at] = share
-        of_class = of_class @ np.concatenate([second_loss, d_word], axis=1)
+        of_kind *= share
         # Each token's share in what its neighbours have lost, place by place; equal tokens are summed up.
         lost = np.zeros((hi - lo + 4 * REACH, WIDTH), table.dtype)
         lost[2 * REACH:-2 * REACH] = d_hidden
         near = sequence[lo - REACH:hi + REACH]
         order = np.argsort(near, kind="stable")
-        ranked = near[order]
-        first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
         step("class_out", slice(None), of_hidden * share)
         step("word_out", slice(None), of_word * share)
-        step("class_in", slice(None), of_class[:, :WIDTH])
-        step("word_bias", slice(None), of_class[:, WIDTH:])
+        step("class_in", slice(None), of_kind.T @ second_loss)
+        step("word_bias", slice(None), of_kind.T @ d_word)
         step("hidden_bias", slice(None), d_hidden.sum(0)[None] * share)
         step("class_bias", slice(None), d_class.sum(0)[None] * share)
-        back = lost[order[:, None] + (REACH - np.array(_PLACES))].reshape(len(order), -1)
+        back = lost.take(order[:, None] + (REACH - np.array(_PLACES)), axis=0).reshape(len(order), -1)
+        ranked = near[order]
+        first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
         # Neighbouring floats as one complex number: the same sums with half the steps.
         total = np.add.reduceat(back.view(np.result_type(table.dtype, np.complex64)), first, axis=0).view(table.dtype)
         step("context", ranked[first], total * share)
@@ -191,7 +225,9 @@ def _start(counts: np.ndarray, seed: int) -> np.ndarray:
 def trained(docs: DataFrame, text: str = "text", rounds: int = 2, share: float = 1.0, seed: int = 5) -> Model:
     """Learns from ``share`` of the documents, chosen by a hash of the text; words are counted over all of them."""
     body = docs.select(F.lower(F.col(f"`{text}`")).alias("text"))
-    counted = body.mapInArrow(_count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()  # BUCKETS rows at most
+    own = F.lit(True) if share >= 1 else F.coalesce(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(share * (1 << 20)), F.lit(False))
+    body = written(body.select(F.arrow_udf(_bucketed, "binary")("text").alias("words"), own.alias("learn")), "pseudolm-words")
+    counted = body.select("words").mapInArrow(_count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()  # BUCKETS rows at most
     often = np.zeros(BUCKETS, np.int64)
     often[counted["bucket"].to_numpy(int)] = counted["n"].to_numpy()
     token_of = NAMED + np.arange(BUCKETS) % (TOKENS - NAMED)
@@ -200,15 +236,15 @@ def trained(docs: DataFrame, text: str = "text", rounds: int = 2, share: float =
     token_of[order] = np.arange(NAMED)
     token_of = (token_of % WIDTH) * WIDTH + token_of // WIDTH
     table = _start(np.bincount(token_of, weights=often, minlength=TOKENS), seed)
-    learn = body if share >= 1 else body.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(share * (1 << 20)))
+    learn = body.filter("learn").select("words")
     names = [f"w{k}" for k in range(WIDTH)]
 
     for _ in range(rounds if len(counted) else 0):
         def train(batches, start=table):
             own, squares, seen = start.astype(np.float32), np.full((ROWS, WIDTH), 1e-6, np.float32), 0
             for batch in batches:
-                for _, _, words, row in _words(batch.column(0)):
-                    tokens = token_of[(words % np.uint64(BUCKETS)).astype(np.int64)]
+                for words, row in _stored(batch.column(0)):
+                    tokens = token_of[words]
                     train_pass(own, padded(tokens, row)[0], squares)
                     seen += len(tokens)
             if seen:
@@ -233,7 +269,7 @@ def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         w = _views(table)
         n, total = np.zeros(len(column), np.int64), np.zeros(len(column))
         for lo, hi, words, row in _words(column):
-            tokens = token_of[(words % np.uint64(BUCKETS)).astype(np.int64)]
+            tokens = token_of[words]
             n[lo:hi] = np.bincount(row, minlength=hi - lo)
             total[lo:hi] = np.bincount(row, weights=log_probabilities(w, tokens, row), minlength=hi - lo)
         return pa.StructArray.from_arrays([pa.array(n), pa.array(total)], ["n_tokens", "log_likelihood"])
