@@ -19,6 +19,7 @@ from plumbline.sources import shop
 from plumbline.sources.shop import AS_OF, given, raw
 from plumbline.streaming.measured_table import MeasuredTable
 from plumbline.streaming.monitor_stream import AlertStream, MonitorStream
+from plumbline.streaming.semantic_cells import SemanticCells
 from plumbline.streaming.validated_stream import ValidatedTable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -464,6 +465,17 @@ def stream_validated(spark, d):
     return table.read()
 
 
+@query
+def stream_semantic(spark, d):
+    """Cells kept by the stream that keeps the validated table."""
+    table = ValidatedTable(spark, shared_folder(spark, "validated"))
+    cells = SemanticCells(spark, semantic.ORDER_QUALITY.bind(orders=table.read(), customers=raw(spark, d, "customers")),
+                          shared_folder(spark, "cells"))
+    cells.initialize()
+    _drain(cells.stream(table, shop.orders_from(_stream(spark, d, "orders"))))
+    return cells.query(semantic.ALL_METRICS, ["tier", "quality_status"])
+
+
 # -- updates and deletes: two versions of the raw orders, the second after a script of statements ---
 
 def versions(spark, d):
@@ -488,6 +500,22 @@ def validated_after_updates(spark, d):
     return table.read()
 
 
+@query
+def semantic_after_updates(spark, d):
+    """Stored cells follow updates of orders through the validated table, then those of customers; the answer reads the cells alone."""
+    before, after = versions(spark, d)
+    customers = raw(spark, d, "customers")
+    table = ValidatedTable(spark, shared_folder(spark, "validated"))
+    table.initialize(before)
+    cells = SemanticCells(spark, semantic.ORDER_QUALITY.bind(orders=table.read(), customers=customers), shared_folder(spark, "cells"))
+    cells.initialize()
+    table.change(changes.captured(before, after), after, 0)
+    cells.follow(table, 0)
+    cells.change(1, orders=table.read(), customers=shop.updated_customers(customers))
+    return cells.query(semantic.ALL_METRICS, ["region", "tier"], where={"status": "status <> 'PENDING'"},
+                       grouping_sets=[["region", "tier"], ["region"], ["tier"], []])
+
+
 @query
 def refresh_modes(spark, d):
     """Some rows change and the refresh is incremental; then all of them, and the table is built anew."""

@@ -590,6 +590,13 @@ def oracle_sql() -> dict[str, str]:
         from ({modes}), (select count(distinct order_id) as base_rows from raw_first)""")
     queries["validated_after_updates"] = _on_updated(_CUSTOMERS, _VALIDATED, body="select * from validated")
     queries["metrics_after_updates"] = _on_updated(body=_measured("raw_orders", "orders", _ORDER_METRICS, AS_OF))
+    updated = _on_updated(_CUSTOMERS.replace("raw_customers as", "first_customers as"), f"""raw_customers as (select * replace (
+        case when customer_id like '%{shop.PROMOTED_CUSTOMERS}' and tier = 'SILVER' then 'GOLD' else tier end as tier)
+        from first_customers where customer_id not like '%{shop.CLOSED_CUSTOMERS}')""", _VALIDATED, body="select {} from tiered {}")
+    columns = ["region", "tier", *[f"cast(grouping({c}) as int) as grouping_{c}" for c in ("region", "tier")], *[f"{e} as {m}" for m, e in _METRICS.items()]]
+    queries["semantic_after_updates"] = updated.format(
+        ", ".join(columns), "where status <> 'PENDING' group by grouping sets ((region, tier), (region), (tier), ())")
+    queries["stream_semantic"] = _semantic("tier", "quality_status")
     queries["stream_validated"] = queries["validated_orders"]
     queries["stream_metrics"] = queries["dq_orders_all"]
     queries["stream_alerts"] = queries["alerts_cooldown"]

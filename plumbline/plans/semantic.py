@@ -122,6 +122,11 @@ class SemanticModel:
         for d in asked:
             if d in where and d not in local:
                 rows = rows.filter(where[d])
+        return self.grouped(rows, measures, dims, grouping_sets)
+
+    def grouped(self, rows: DataFrame, measures: Sequence[str], dims: Sequence[str] = (),
+                grouping_sets: Sequence[Sequence[str]] | None = None) -> DataFrame:
+        """Sums of rows that hold the dimensions and the measures by name."""
         marks: list[Column] = []
         if grouping_sets:
             # Sums of the finest groups first: the sets expand these, not the rows.
@@ -140,7 +145,10 @@ class SemanticModel:
         """``where`` maps a dimension to a SQL predicate on it.  With
         ``grouping_sets`` the answer holds one block of rows per set, told apart
         by ``grouping_<dimension>`` (1 where the dimension is summed over)."""
-        totals = self.sums(self.measures_of(metrics), dims, where, grouping_sets)
+        return self.computed(self.sums(self.measures_of(metrics), dims, where, grouping_sets), metrics)
+
+    def computed(self, totals: DataFrame, metrics: Sequence[str]) -> DataFrame:
+        """The metrics from sums of the measures."""
         groups = [c for c in totals.columns if c not in self.measures]
         return totals.select(*groups, *[F.expr(self.metrics[m]).alias(m) for m in metrics])
 

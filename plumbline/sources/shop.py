@@ -175,6 +175,8 @@ def loaded_shipments_from(source: DataFrame) -> DataFrame:
 KEY_OF_ORDER = "cast(substring(order_id, 5) as bigint)"
 CLOSED_AFTER = "2001-07-25"
 RESTATED = "RESTATED"
+# Last digits of the customers that an update deletes or promotes.
+CLOSED_CUSTOMERS, PROMOTED_CUSTOMERS = "3", "7"
 # -----------------------------------------------------------------------------
 
 
@@ -195,6 +197,13 @@ def updated_orders(orders: DataFrame) -> DataFrame:
     return schemas.conform(changed.unionByName(again), schemas.ORDERS)
 
 
+def updated_customers(customers: DataFrame) -> DataFrame:
+    """The raw customers after an UPDATE that promotes some and a DELETE of others."""
+    left = customers.filter(~F.col("customer_id").endswith(CLOSED_CUSTOMERS))
+    promoted = F.col("customer_id").endswith(PROMOTED_CUSTOMERS) & (F.col("tier") == "SILVER")
+    return left.withColumn("tier", F.when(promoted, "GOLD").otherwise(F.col("tier")))
+
+
 _DERIVED = {
     "orders": ("orders", orders_from),
     "customers": ("customer", customers_from),

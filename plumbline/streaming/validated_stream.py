@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from plumbline.functions.metrics import moment
-from plumbline.operators.changes import CHANGE, lost_keys, of_keys, same
+from plumbline.operators.changes import CHANGE, captured, lost_keys, of_keys, same
 from plumbline.operators.dedup import merge_first
 from plumbline.plans.validate import validated_orders
 from plumbline.session import written
@@ -157,6 +157,16 @@ class ValidatedTable:
     def read(self) -> DataFrame:
         return self._merged()
 
+    def net_changes(self, batch_id: int) -> DataFrame | None:
+        """What a batch changed in this table (``operators.changes``), for tables
+        that are derived from it.  Only keys that the batch touched are compared.
+        None if the batch built the table anew."""
+        if self.base.current()[1] >= batch_id:
+            return None
+        keys = self.changes.batch(batch_id).select(KEY).unionByName(self.resets.batch(batch_id))
+        keys = written(keys.distinct(), "touched-keys")
+        return captured(of_keys(self._merged(batch_id - 1), keys, KEY), of_keys(self._merged(batch_id), keys, KEY))
+
     def refresh_modes(self) -> DataFrame:
         """How each batch of net changes was followed."""
         return self.modes.read().select("batch_id", *MODES.fieldNames())
