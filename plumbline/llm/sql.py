@@ -51,8 +51,10 @@ from b qualify rank <= 2000
 
 
 def _licences() -> str:
-    form = "trim(regexp_replace(regexp_replace(lower(text), '(?m)^[^a-z0-9\\n]*(copyright|\\(c\\)|©|all rights reserved)[^\\n]*$', '', 'g')," \
-           " '[^\\p{L}\\p{N}]+', ' ', 'g'))"
+    # A pattern here cannot look ahead: "copyright" before licence wording is marked first, then lines that still begin with it go.
+    kept = f"regexp_replace(lower(text), 'copyright([^a-z0-9©]*({licences.WORDING})([^a-z]|$))', 'copyrigh' || chr(1) || 't\\1', 'g')"
+    form = (f"regexp_replace({kept}, '(?m)^[^a-z0-9\\n]*(copyright([^a-z\\n][^\\n]*)?|(\\(c\\)|©|all rights reserved)[^\\n]*)$', '', 'g')")
+    form = f"trim(regexp_replace(replace({form}, 'copyrigh' || chr(1) || 't', 'copyright'), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
     for other, usual in licences.SPELLINGS:
         form = f"replace({form}, '{other}', '{usual}')"
     known = ", ".join(f"('{d}', '{name}')" for d, name in sorted(licences.digests().items()))

@@ -2,6 +2,9 @@ from __future__ import annotations
 
 import textwrap
 
+import duckdb
+import pandas as pd
+
 from plumbline.llm import licences, registry
 from plumbline.llm.licence_texts import KNOWN, MIT
 from plumbline.llm.sql import ORACLE_SQL
@@ -54,6 +57,18 @@ def test_layout_does_not_change_a_licence(spark):
     assert cut != MIT and licences.scanned(spark.createDataFrame([(cut,)], "text string")).first().licence_id is None
 
 
+def test_sql_follows_the_operator_on_every_layout(spark):
+    texts = [notice + wrapped(text, width) for text in KNOWN.values() for width in (0, 1, 10, 20, 40, 66, 72, 78, 80, 100)
+             for notice in ("", "Copyright (c) 2020 Somebody\n", "copyright The X Authors\n\nCopyright 1999-2001\n")]
+    texts += ["copyright\nholders\nx", "copyright\n2001\nx", "copyrighted\nx", "* copyright, in y\nz", "copyright inx\nz", "a copyright b\nc",
+              "copyright or copyright notice\nx", "copyright or\ncopyright 2001\nx", "copyright © and\nx", "copyright", "copyright or", "©\n(c)\nx", None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame({"doc_id": range(len(texts)), "text": texts}).astype({"text": "object"}))
+    got = licences.scanned(docs).select("doc_id", "licence_digest", "licence_id")
+    assert differences(got, con, ORACLE_SQL["op7_licences"]) == []
+
+
 def test_query(spark):
     assert differences(registry.op7_licences(spark, MIDDLE), connect(MIDDLE), ORACLE_SQL["op7_licences"]) == []
 
