@@ -46,6 +46,24 @@ def test_cascade_orders_by_rejections_per_second(spark):
     assert worth == sorted(worth, reverse=True)
 
 
+def test_a_slow_rule_goes_last(spark):
+    docs = spark.read.parquet(f"{MIDDLE}/documents.parquet")
+    slow = quality.Rule("slow", "n_words < 100 and regexp_count(repeat(coalesce({text}, ''), 20), '([a-z]+ )*[0-9]') >= 0")
+    quick, never = quality.Rule("quick", "n_words < 100"), quality.Rule("never", "n_words < 0")
+    for rules in ((slow, quick, never), (never, quick, slow)):
+        order = quality.cascade(docs, rules)
+        assert [r.name for r, _, _ in order] == ["quick", "slow", "never"]
+        assert order[0][2] == order[1][2] > 0 == order[2][2]
+
+
+def test_sample_is_spread_over_the_whole_table(spark):
+    """Only the last tenth of the rows, each of a few hundred kilobytes, is rejected; a prefix would not meet them."""
+    long = "word " * 60_000
+    docs = spark.range(2000, numPartitions=4).selectExpr(f"if(id >= 1800, '{long}', 'some words') as text")
+    order = quality.cascade(docs, (quality.Rule("long", "n_words > 1000"),), sample_rows=400, repeats=1)
+    assert 0.04 < order[0][2] < 0.2
+
+
 def test_any_order_gives_the_same_verdict(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     kept = [{(r.doc_id, r.kept) for r in quality.judged(docs, rules).select("doc_id", "kept").collect()}
