@@ -46,6 +46,7 @@ def features(data: np.ndarray, offsets: np.ndarray, size: int) -> list[tuple[np.
     blank = plain == 0x20
     use = np.ones(len(plain), bool)
     use[1:] = ~(blank[1:] & blank[:-1])
+    use[offsets[:-1][offsets[:-1] < offsets[1:]]] = True  # a row does not depend on the one before it
     before = np.concatenate([[0], np.cumsum(use)])
     plain, offsets = plain[use].astype(np.uint32), before[offsets]
     row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))

@@ -1,11 +1,13 @@
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from plumbline.llm import langid, registry
-from tests.conftest import MIDDLE
+from tests.conftest import MIDDLE, SMALL
 from tests.llm.rows import awkward, nothing, others_kept
 
 ADDED = ("lang_pred", "score", "ambiguous")
@@ -33,6 +35,58 @@ def test_held_out_accuracy(spark):
     assert again == {(r.doc_id, r.lang_pred) for r in rows}
 
 
+def decoded(model, text):
+    """Language, score and lead by the definition: every n-gram's bucket, every bit's odds, every codeword's loss."""
+    plain = bytearray()
+    for b in text.lower().encode():
+        b = 0x20 if b < 128 and not chr(b).isalpha() else b
+        if not (b == 0x20 and plain[-1:] == b" "):
+            plain.append(b)
+    bits = model.code.shape[1]
+    total, grams = [0.0] * bits, 0
+    for n in langid.GRAMS:
+        for i in range(len(plain) - n + 1):
+            h = n
+            for b in plain[i:i + n]:
+                h = ((h ^ b) * 0x01000193) % 2 ** 32
+            h = ((h ^ (h >> 15)) * 0x2C1B3C6D) % 2 ** 32
+            grams += 1
+            for bit in range(bits):
+                total[bit] += float(model.odds[(h >> 8) % len(model.odds), bit])
+    sure = math.sqrt(min(grams, 400) / 25)
+    loss = []
+    for word in model.code:
+        per_bit = [math.log1p(math.exp(-t / max(grams, 1) / s * sure * int(c))) for t, s, c in zip(total, model.spread, word)]
+        loss.append(sum(x * s for x, s in zip(per_bit, model.spread)) / sum(model.spread))
+    chance = [math.exp(4 * (min(loss) - x)) for x in loss]
+    first, second = sorted((x / sum(chance) for x in chance), reverse=True)[:2]
+    return model.languages[loss.index(min(loss))], first, first - second
+
+
+def test_query_against_a_decode_by_definition(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    model = langid.trained(docs.filter(F.crc32(F.col("doc_id").cast("string")) % 5 != 0))
+    found = {r.doc_id: r for r in registry.op10_langid(spark, SMALL).collect()}
+    for doc in docs.collect():
+        got = found[doc.doc_id]
+        if not any(c.isalpha() for c in doc.text or ""):
+            assert (got.lang_pred, got.score) == ("und", 0)
+            continue
+        name, score, lead = decoded(model, doc.text)
+        assert got.lang_pred == name and got.score == pytest.approx(score, rel=1e-4)
+        if abs(lead - 0.05) > 1e-4:
+            assert got.ambiguous == (lead < 0.05)
+
+
+def test_a_text_does_not_depend_on_its_neighbours(spark):
+    model = langid.trained(spark.read.parquet(f"{SMALL}/documents.parquet"))
+    texts = ["  the end ", " of it ", "", " und ", "der ", " fin"]
+    together = langid.predicted(spark.createDataFrame(list(enumerate(texts)), "id int, text string").coalesce(1), model)
+    for r in together.collect():
+        alone = langid.predicted(spark.createDataFrame([(texts[r.id],)], "text string"), model).first()
+        assert (alone.lang_pred, alone.score) == (r.lang_pred, pytest.approx(r.score, rel=1e-6))
+
+
 def test_learns_from_the_others_only(spark):
     """Labels of held-out rows make no difference."""
     docs = spark.read.parquet(f"{MIDDLE}/documents.parquet")
