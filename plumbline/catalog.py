@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from plumbline.functions import metrics as m
-from plumbline.functions import text
+from plumbline.functions import address_paths, text
 from plumbline.operators import changes, cooldown, nearest, references, sketches, updates
 from plumbline.plans import alerts, enrich, facts, root_cause, semantic, validate
 from plumbline.plans import shop_monitors as monitors
@@ -283,6 +283,13 @@ def redact_addresses(spark, d):
     return enrich.redacted_addresses(orders(spark, d))
 
 
+@query
+def address_spellings(spark, d):
+    """Addresses written in other ways, taken apart by their best path."""
+    spelled = shop.spelled_addresses(orders(spark, d))
+    return spelled.select("order_id", address_paths.parse_address(F.col("address")).alias("found")).select("order_id", "found.*")
+
+
 @query
 def address_preview(spark, d):
     return enrich.address_preview(orders(spark, d))

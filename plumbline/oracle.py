@@ -596,6 +596,10 @@ def oracle_sql() -> dict[str, str]:
     columns = ["region", "tier", *[f"cast(grouping({c}) as int) as grouping_{c}" for c in ("region", "tier")], *[f"{e} as {m}" for m, e in _METRICS.items()]]
     queries["semantic_after_updates"] = updated.format(
         ", ".join(columns), "where status <> 'PENDING' group by grouping sets ((region, tier), (region), (tier), ())")
+    unit = f"case {draw_sql(shop.KEY_OF_ORDER, shop.SALT_OF_SPELLING, 8)} when 5 then ', Apt 4B' when 6 then ', #12' else '' end"
+    queries["address_spellings"] = _on_orders(
+        f"select order_id, {_part(1)} || {unit} as street, {_part(2)} as city, {_part(3)} as state, {_part(4)} as zip_code, true as zip_of_state "
+        f"from raw_orders where {_part(2)} is not null")
     queries["stream_semantic"] = _semantic("tier", "quality_status")
     queries["stream_validated"] = queries["validated_orders"]
     queries["stream_metrics"] = queries["dq_orders_all"]

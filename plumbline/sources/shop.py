@@ -11,6 +11,7 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plumbline.functions.address import address_parts
 from plumbline.functions.draws import draw, identifier, pick, uniform
 from plumbline.sources import schemas
 
@@ -175,6 +176,7 @@ def loaded_shipments_from(source: DataFrame) -> DataFrame:
 KEY_OF_ORDER = "cast(substring(order_id, 5) as bigint)"
 CLOSED_AFTER = "2001-07-25"
 RESTATED = "RESTATED"
+SALT_OF_SPELLING = 87
 # Last digits of the customers that an update deletes or promotes.
 CLOSED_CUSTOMERS, PROMOTED_CUSTOMERS = "3", "7"
 # -----------------------------------------------------------------------------
@@ -204,6 +206,19 @@ def updated_customers(customers: DataFrame) -> DataFrame:
     return left.withColumn("tier", F.when(promoted, "GOLD").otherwise(F.col("tier")))
 
 
+def spelled_addresses(orders: DataFrame) -> DataFrame:
+    """(order_id, address): the well-formed addresses of orders, each in one of eight other spellings."""
+    parts = address_parts(F.col("shipping_address"))
+    known = orders.select("order_id", "shipping_address", parts.alias("p")).filter("p is not null")
+    street, city, state, code = (F.get("p", F.lit(i)) for i in range(4))
+    whole, plain = F.col("shipping_address"), F.replace("shipping_address", F.lit(","), F.lit(""))
+    spellings = F.array(
+        whole, F.upper(whole), F.lower(plain), plain, F.format_string("%s %s %s, %s", city, state, code, street),
+        F.format_string("%s Apt 4b, %s, %s, %s", street, city, state, code), F.format_string("%s #12 %s %s %s", street, city, state, code),
+        F.format_string("%s, %s, %s %s", street, city, code, state))
+    return known.select("order_id", F.get(spellings, draw(KEY_OF_ORDER, SALT_OF_SPELLING, 8).cast("int")).alias("address"))
+
+
 _DERIVED = {
     "orders": ("orders", orders_from),
     "customers": ("customer", customers_from),
