@@ -34,9 +34,10 @@ def remainders(value: Column, most: int) -> Column:
 
 def _different(df: DataFrame, column: str) -> DataFrame:
     """The different values, over as many tasks as a shuffle has: remainders take
-    hundreds of times their space, which adaptive coalescing can't foresee."""
+    hundreds of times their space, which adaptive coalescing can't foresee.  Dealt
+    by another expression than the aggregate's, else its coalesced exchange would do."""
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.select(column).dropna().distinct().repartition(tasks, column)
+    return df.select(column).dropna().distinct().repartition(tasks, F.xxhash64(column))
 
 
 def remainder_index(accepted: DataFrame, column: str, most: int = 2) -> DataFrame:
@@ -52,6 +53,7 @@ def nearest_listed(values: DataFrame, column: str, index: DataFrame, most: int =
     spread = _different(values, column).select(column, F.explode(remainders(F.col(column), most)).alias("remainder"))
     # A pair met through several remainders is checked each time; the minimum does not mind.
     distance = F.levenshtein(F.col(column), F.col("accepted"), most)
-    near = spread.join(index, "remainder").select(column, distance.alias("distance"), "accepted").filter("distance >= 0")
+    # Remainders are sized as the values they come from, so Spark would broadcast all of them through the driver.
+    near = spread.hint("merge").join(index, "remainder").select(column, distance.alias("distance"), "accepted").filter("distance >= 0")
     best = near.groupBy(column).agg(F.min(F.struct("distance", "accepted")).alias("best"))
     return best.select(column, F.col("best.accepted").alias("nearest"), F.col("best.distance").alias("distance"))

@@ -62,6 +62,23 @@ def test_no_cross_join(spark):
     assert "Cartesian" not in plan and "NestedLoop" not in plan
 
 
+def test_remainders_are_not_broadcast(spark, folder):
+    """A small file of values has hundreds of times its size of remainders; neither side may go through the driver."""
+    spark.range(300).select(F.concat(F.lit("some longer label "), F.md5(F.col("id").cast("string"))).alias("name")).write.parquet(folder + "/names")
+    names = spark.read.parquet(folder + "/names")
+    near = nearest.nearest_listed(names, "name", nearest.remainder_index(names, "name"))
+    assert near.count() == 300
+    near.collect()  # adaptive execution may change joins while it runs
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_remainders_are_made_in_many_tasks(spark):
+    names = spark.range(300).select(F.col("id").cast("string").alias("name"))
+    tasks = nearest.remainder_index(names, "name").select(F.spark_partition_id().alias("task")).distinct().count()
+    assert tasks == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_estimates_keep_their_bound(spark):
     rows = spark.range(60000).select((F.col("id") % 6).cast("int").alias("month"), (F.col("id") % 17011).alias("k"))
     rows = rows.unionByName(spark.createDataFrame([(None, 1), (2, None)], "month int, k long"))
