@@ -118,8 +118,8 @@ def _tanh(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _softmax(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(probabilities, log of the sum of exponentials) of each row."""
+def _softmax(x: np.ndarray, shares: bool) -> tuple[np.ndarray | None, np.ndarray]:
+    """(probabilities if wanted, log of the sum of exponentials) of each row."""
     top = x.max()
     e = x - top
     np.exp(e, out=e)
@@ -129,27 +129,32 @@ def _softmax(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         e = np.exp(x - top)
         total = e @ np.ones(x.shape[1], x.dtype)
         return e / total[:, None], np.log(total) + top[:, 0]
-    e /= total[:, None]
-    return e, np.log(total) + top
+    if shares:
+        e /= total.repeat(x.shape[1]).reshape(x.shape)
+    return e if shares else None, np.log(total) + top
 
 
-def forward(w: dict[str, np.ndarray], sequence: np.ndarray, lo: int, hi: int):
-    """(log probability of each token from lo to hi, and what the gradient needs)."""
+def forward(w: dict[str, np.ndarray], sequence: np.ndarray, lo: int, hi: int, learns: bool = True):
+    """(log probability of each token from lo to hi, and if it learns what the gradient needs)."""
     n = hi - lo
-    around = w["context"].take(sequence[lo - REACH:hi + REACH], axis=0)
-    hidden = w["hidden_bias"] + around[:n, :WIDTH]
-    for k, place in enumerate(_PLACES[1:], 1):
-        hidden += around[REACH + place:REACH + place + n, k * WIDTH:(k + 1) * WIDTH]
+    by_place = w["context"].reshape(-1, WIDTH)  # a row for each token and place
+    around = sequence[lo - REACH:hi + REACH].astype(np.int64) * len(_PLACES)
+    same = np.zeros(n, np.int64)
+    # Whole rows are taken and added: numpy broadcasts a short row far slower.
+    hidden = w["hidden_bias"].take(same, axis=0)
+    for k, place in enumerate(_PLACES):
+        hidden += by_place.take(around[REACH + place:REACH + place + n] + k, axis=0)
     hidden = _tanh(hidden)
     tokens = sequence[lo:hi].astype(np.int64) % TOKENS  # a blank's own probability is never used
     kind, inner, at = tokens // WIDTH, tokens % WIDTH, np.arange(n)
-    classes = hidden @ w["class_out"] + w["class_bias"]
+    classes = hidden @ w["class_out"]
+    classes += w["class_bias"].take(same, axis=0)
     second = w["class_in"].take(kind, axis=0)
     second += hidden
     second = _tanh(second)
     words = second @ w["word_out"]
     words += w["word_bias"].take(kind, axis=0)
-    (p_class, s_class), (p_word, s_word) = _softmax(classes), _softmax(words)
+    (p_class, s_class), (p_word, s_word) = _softmax(classes, learns), _softmax(words, learns)
     return classes[at, kind] - s_class + words[at, inner] - s_word, (hidden, second, p_class, p_word, kind, inner, at)
 
 
@@ -158,10 +163,40 @@ def log_probabilities(w: dict[str, np.ndarray], tokens: np.ndarray, row: np.ndar
     out = np.zeros(len(sequence))
     for lo in range(REACH, len(sequence) - REACH, batch):
         hi = min(lo + batch, len(sequence) - REACH)
-        out[lo:hi] = forward(w, sequence, lo, hi)[0]
+        out[lo:hi] = forward(w, sequence, lo, hi, learns=False)[0]
     return out[at]
 
 
+def _summed(rows: np.ndarray, at: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sums over groups, the largest groups first: group g sums what ``rows`` has at the indices ``at[starts[g]]``,
+    ``at[starts[g] + 1]`` …, counts[g] of them, each several rows side by side.
+
+    Small groups are summed side by side, entry by entry, in the order of ``np.add.reduceat``
+    (the same digits), which takes as long for a group of two as for one of twenty.
+    """
+    def taken(entries: np.ndarray) -> np.ndarray:
+        return rows.take(at[entries], axis=0).reshape(len(entries), at.shape[1] * rows.shape[1])
+
+    over = [int(np.searchsorted(-counts, -j)) for j in range(9)]  # groups with more than j entries
+    total = taken(starts)
+    if over[1]:
+        rest = taken(starts[:over[1]] + 1)
+        rest[:over[2]] += taken(starts[:over[2]] + 2)
+        third = taken(starts[:over[3]] + 3)
+        third[:over[4]] += taken(starts[:over[4]] + 4)
+        rest[:over[3]] += third
+        for j in range(5, 8):
+            rest[:over[j]] += taken(starts[:over[j]] + j)
+        total[:over[1]] += rest
+    if large := over[8]:
+        n = counts[:large]
+        first = np.cumsum(n) - n
+        # Neighbouring floats as one complex number: the same sums with half the steps.
+        wide = taken(np.arange(int(n.sum())) + np.repeat(starts[:large] - first, n)).view(np.result_type(rows.dtype, np.complex64))
+        total[:large] = np.add.reduceat(wide, first, axis=0).view(rows.dtype)
+    return total
+
+
 def train_pass(table: np.ndarray, sequence: np.ndarray, squares: np.ndarray, rate: float = 0.1, batch: int = 2048) -> None:
     """One pass over a padded sequence in mini-batches, with a step size for each weight row (AdaGrad); changes table and squares."""
     w = _views(table)
@@ -169,9 +204,11 @@ def train_pass(table: np.ndarray, sequence: np.ndarray, squares: np.ndarray, rat
     ones = np.eye(WIDTH, dtype=table.dtype)
 
     def step(name: str, rows, gradient: np.ndarray) -> None:
-        total = seen[name][rows, :1] + np.einsum("ij,ij->i", gradient, gradient)[:, None] / gradient.shape[1]
-        seen[name][rows, :1] = total  # one step size a row: the first column holds it
-        w[name][rows] -= gradient * (rate / np.sqrt(total))
+        first = seen[name][:, 0]  # one step size a row: the first column holds it
+        total = first[rows] + np.einsum("ij,ij->i", gradient, gradient) / gradient.shape[1]
+        first[rows] = total
+        gradient *= (rate / np.sqrt(total))[:, None]
+        w[name][rows] -= gradient
 
     for lo in range(REACH, len(sequence) - REACH, batch):
         hi = min(lo + batch, len(sequence) - REACH)
@@ -203,12 +240,13 @@ def train_pass(table: np.ndarray, sequence: np.ndarray, squares: np.ndarray, rat
         step("word_bias", slice(None), of_kind.T @ d_word)
         step("hidden_bias", slice(None), d_hidden.sum(0)[None] * share)
         step("class_bias", slice(None), d_class.sum(0)[None] * share)
-        back = lost.take(order[:, None] + (REACH - np.array(_PLACES)), axis=0).reshape(len(order), -1)
-        ranked = near[order]
+        ranked = near[order].astype(np.int64)
         first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
-        # Neighbouring floats as one complex number: the same sums with half the steps.
-        total = np.add.reduceat(back.view(np.result_type(table.dtype, np.complex64)), first, axis=0).view(table.dtype)
-        step("context", ranked[first], total * share)
+        counts = np.diff(np.append(first, len(ranked)))
+        large = np.argsort(-counts, kind="stable")
+        total = _summed(lost, order[:, None] + (REACH - np.array(_PLACES)), first[large], counts[large])
+        total *= share
+        step("context", ranked[first[large]], total)
 
 
 def _start(counts: np.ndarray, seed: int) -> np.ndarray:

@@ -67,6 +67,18 @@ def test_a_step_follows_the_gradient():
         assert slope[r, c] == pytest.approx((losses[0] - losses[1]) / 2e-5, rel=1e-3, abs=1e-7)
 
 
+def test_sums_of_groups():
+    """Groups of any size, to the last digit as numpy sums them one by one."""
+    rng = np.random.default_rng(6)
+    counts = np.array([300, 40, 9, 9, 8, 7, 6, 5, 4, 3, 2, 1, 1])
+    starts = rng.permutation(np.cumsum(counts) - counts)
+    rows, at = rng.normal(size=(50, 4)).astype(np.float32), rng.integers(0, 50, (int(counts.sum()) + 300, 3))
+    for few in (slice(None), slice(2, None), slice(4, None), slice(9, None), slice(13, None)):
+        got = pseudolm._summed(rows, at, starts[few], counts[few])
+        one_by_one = [np.add.reduceat(rows[at[s:s + n]].reshape(n, -1).view(np.complex64), [0], axis=0) for s, n in zip(starts[few], counts[few])]
+        assert np.array_equal(got, np.array(one_by_one, np.complex64).reshape(-1, 6).view(np.float32))
+
+
 def mean(df):
     return df.agg(F.sum("log_likelihood") / F.sum("n_tokens")).first()[0]
 
